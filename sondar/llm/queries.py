@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from sondar.llm.bpe import encode_corpus
 from sondar.llm.encoding import find_garbled
+from sondar.llm.linkage import match_entities
 from sondar.llm.lookalike import lookalike_pairs, unify_text
 from sondar.llm.residue import find_residue, main_body
 from sondar.llm.mixing import mix, plan_sources, shares
@@ -27,6 +28,16 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return main_body(table(spark, d, "fetched_evidence"), *_PAGE).select("evidence_id", "line_no").distinct()
 
 
+def p6_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Rows of both tables that tell of the same certame, with a confidence."""
+    return match_entities(table(spark, d, "concursos_base"), table(spark, d, "concursos_radar"), "base_id", "radar_id")
+
+
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    """The matched pairs."""
+    return p6_matches(spark, d).select("base_id", "radar_id")
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose content was read in a wrong encoding."""
     return find_garbled(table(spark, d, "fetched_evidence"), "evidence_id", "content", "host", restore=False).select("evidence_id").distinct()
@@ -67,5 +78,5 @@ def p10_canonical(spark: SparkSession, d: str) -> DataFrame:
     return unify_text(table(spark, d, "documents"), "doc_id", "text").select("doc_id", "canonical", F.coalesce(F.col("canonical") != F.col("text"), F.lit(False)).alias("changed"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found, p7_found, p7_restored, p8_ids, p9_mix, p9_shares, p10_found, p10_canonical)}
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p6_found, p6_matches, p7_found, p7_restored, p8_ids, p9_mix, p9_shares, p10_found, p10_canonical)}
 ORACLES: dict[str, str] = {}
