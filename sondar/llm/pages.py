@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from sondar.plans.lineage import written
 
 #: Pages aligned together at most; labelled pages the line model is fitted on at most.
-GROUP_PAGES, TRAIN_PAGES, EPOCHS = 64, 1500, 8
+GROUP_PAGES, TRAIN_PAGES, EPOCHS, HOT_HOSTS = 64, 1500, 8, 200_000
 _DROP = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>|<![^>]*>", re.S | re.I)
 _LINK = re.compile(r"<a\b[^>]*>", re.I)
 _HEAD = re.compile(r"<h1\b[^>]*>", re.I)
@@ -346,12 +346,15 @@ def fit(pages: list[tuple[list[str], str | None, list[int]]], seed: int = 5) ->
 def labelled_pages(df: DataFrame, key: str, host: str, content: str, src: str, title: str) -> DataFrame:
     """(key, title, content, roles) of every page: roles has one tinyint for each non-empty line of content.
 
-    Pages are brought together by (host, part), a host having as many parts as its
-    pages need to stay under GROUP_PAGES, so no task holds a whole hot host.
+    Pages are brought together by (host, part) in one shuffle. A host with more pages than
+    GROUP_PAGES, and than one in HOT_HOSTS of all, is split into parts of GROUP_PAGES; there
+    are at most HOT_HOSTS such hosts, so their list is broadcast.
     """
     pages = df.select(key, F.coalesce(host, F.lit("")).alias("h"), content, src, title)
-    sizes = pages.groupBy("h").agg(F.ceil(F.count(F.lit(1)) / F.lit(GROUP_PAGES)).alias("parts"))
-    grouped = pages.join(sizes, "h").withColumn("part", F.pmod(F.xxhash64(key), F.col("parts")))
+    least = max(GROUP_PAGES, df.count() // HOT_HOSTS)
+    hot = pages.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
+    hot = hot.select("h", F.ceil(F.col("n") / GROUP_PAGES).alias("parts"))
+    grouped = pages.join(F.broadcast(hot), "h", "left").withColumn("part", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(key), F.col("parts"))).otherwise(F.lit(0)))
 
     def run(t: pa.Table) -> pa.Table:
         c, s, ti = (t.column(x).to_pylist() for x in (content, src, title))
