@@ -29,3 +29,60 @@ def url_key(c: Column) -> Column:
     query = F.regexp_extract(s, r"\?(.*)$", 1)
     params = F.array_sort(F.filter(F.split(query, "&", -1), lambda x: x != ""))
     return F.concat(host, path, F.when(F.size(params) > 0, F.concat(F.lit("?"), F.array_join(params, "&"))).otherwise(F.lit("")))
+
+
+def host(c: Column) -> Column:
+    """Lower-case host without port, user and final dot; empty if there is no address."""
+    h = F.lower(F.regexp_extract(strip_ws(F.coalesce(c, F.lit(""))), r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*://)?(?:[^/@?#]*@)?([^/:?#]*)", 1))
+    return F.regexp_replace(h, r"\.$", "")
+
+
+def bare_host(c: Column) -> Column:
+    return F.regexp_replace(host(c), r"^www\.", "")
+
+
+def path(c: Column) -> Column:
+    return F.regexp_extract(F.coalesce(c, F.lit("")), r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*://)?[^/?#]*([^?#]*)", 1)
+
+
+def query(c: Column) -> Column:
+    return F.regexp_extract(F.coalesce(c, F.lit("")), r"\?([^#]*)", 1)
+
+
+def without_query(c: Column) -> Column:
+    """Lower case, neither query nor fragment, no trailing slash."""
+    return F.regexp_replace(F.lower(F.regexp_replace(c, r"[?#].*$", "")), r"/+$", "")
+
+
+def without_fragment(c: Column) -> Column:
+    return F.regexp_replace(c, "#.*$", "")
+
+
+def is_ip(c: Column) -> Column:
+    return bare_host(c).rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$")
+
+
+def without_defaults(c: Column) -> Column:
+    """url_key without ano/year parameters that mean all years."""
+    k = url_key(c)
+    parts = F.filter(F.split(F.regexp_extract(k, r"\?(.*)$", 1), "&"), lambda p: (p != "") & ~F.lower(p).rlike("^(ano|year)=(0|todos|todas)?$"))
+    return F.concat(F.regexp_replace(k, r"\?.*$", ""), F.when(F.size(parts) > 0, F.concat(F.lit("?"), F.array_join(parts, "&"))).otherwise(F.lit("")))
+
+
+def all_years(c: Column) -> Column:
+    """The address with ano=YYYY replaced by ano=0; null where there is no such parameter."""
+    return F.when(c.rlike(r"[?&]ano=[1-9][0-9]{3}(&|#|$)"), F.regexp_replace(c, r"([?&]ano=)[1-9][0-9]{3}", "$1" + "0"))
+
+
+def parents(c: Column, most: int = 2) -> Column:
+    """Up to `most` parent paths with at least two segments."""
+    segs = F.filter(F.split(F.regexp_replace(path(c), "^/|/$", ""), "/"), lambda s: s != "")
+    root = F.regexp_extract(c, r"^([a-zA-Z]+://[^/?#]+)", 1)
+    ks = F.filter(F.transform(F.sequence(F.lit(1), F.lit(most)), lambda k: F.size(segs) - k), lambda n: n >= 2)
+    return F.transform(ks, lambda n: F.concat(root, F.lit("/"), F.array_join(F.slice(segs, F.lit(1), n), "/")))
+
+
+def redacted(c: Column) -> Column:
+    """Values of parameters that may hold secrets, and credentials before the host, replaced."""
+    c = F.regexp_replace(c, r"://[^/@?#]+@", "://***@")
+    return F.regexp_replace(c, r"(?i)([?&](?:token|key|api_key|senha|password|sig|session|id)=)[^&#]*", "$1***")
