@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 KEY = r"(?:^|[^0-9./])([0-9]{1,4})\s*/\s*([0-9]{4}|[0-9]{2})(?:$|[^0-9/])"
+#: The label has no guard before the number, so the tail of a date counts.
+LABEL = r"([0-9]{1,4})\s*/\s*([0-9]{4}|[0-9]{2})(?:$|[^0-9/])"
 ITEM = r"(?:edital|concurso|processo|retificacao|convocacao|certame)[^0-9\n]{0,20}[0-9]{1,4}/[0-9]{4}"
 
 
@@ -15,16 +17,16 @@ def year4(y: Column) -> Column:
     return F.when(F.length(y) == 4, n).when(n <= 39, n + 2000).otherwise(n + 1900)
 
 
-def number_key(c: Column) -> Column:
+def number_key(c: Column, pattern: str = KEY) -> Column:
     """(number, year) of the first NN/YYYY that is no date or law number; fields null if there is none."""
-    a, b = F.regexp_extract(c, KEY, 1), F.regexp_extract(c, KEY, 2)
+    a, b = F.regexp_extract(c, pattern, 1), F.regexp_extract(c, pattern, 2)
     found = F.coalesce(a != "", F.lit(False))
     return F.struct(F.when(found, a.cast("int")).alias("number"), F.when(found, year4(b)).alias("year"))
 
 
 def number_label(c: Column) -> Column:
     """`nº NN/YYYY`, padded to two digits; null if there is no number."""
-    k = number_key(c)
+    k = number_key(c, LABEL)
     return F.when(k["number"].isNotNull(), F.concat(F.lit("nº "), F.when(k["number"] < 10, F.concat(F.lit("0"), k["number"].cast("string"))).otherwise(k["number"].cast("string")), F.lit("/"), k["year"].cast("string")))
 
 

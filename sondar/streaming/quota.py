@@ -12,7 +12,7 @@ def rolling(df: DataFrame, key: str, ts: str, seconds: int, value: Column | None
 
     Rows at the same instant count together; microseconds are exact.
     """
-    at = F.unix_micros(F.col(ts))
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
     w = W.partitionBy(key).orderBy(at).rangeBetween(-(seconds * 1_000_000 - (1 if lower_open else 0)), 0)
     return (F.count(F.lit(1)) if value is None else F.sum(value)).over(w)
 
