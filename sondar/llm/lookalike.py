@@ -119,7 +119,7 @@ def canonical(texts: list[str | None]) -> list[str | None]:
         starts = (ccc == 0) | np.concatenate(([True], row[1:] != row[:-1]))
         seg = np.cumsum(starts)
         if is_mark.any():
-            order = np.lexsort((np.arange(len(new)), np.where(starts, 0, ccc), seg))
+            order = np.lexsort((np.arange(len(new)), ccc, seg))
             new, ccc, row = new[order], ccc[order], row[order]
             new, keep = _compose(new, ccc, seg, pk, pv)
             new, row = new[keep], row[keep]
