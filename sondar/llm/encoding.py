@@ -8,9 +8,9 @@ source, expectation-maximization learns which letter each of its symbols stands
 from the neighbours it was seen between. The learned mapping is applied with
 ``str.translate`` and kept where it makes the text clearly likelier.
 
-Code-page tables only name the symbols a source can have and serve as a weak prior;
-what a symbol means is decided by the language. Symbols that fit no code page make a
-source of their own for each host.
+A source is one unknown swap of code pages, pooled over all rows it explains best. Code-page
+tables only name the symbols a source can have and serve as a weak prior; what a symbol
+means is decided by the language.
 """
 
 from __future__ import annotations
@@ -22,9 +22,12 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sondar.plans.lineage import written
+
 #: Letters and signs of the languages of the corpus that a wrong decoding can hit.
 LETTERS = "áàâãéêíóôõúüçñÁÀÂÃÉÊÍÓÔÕÚÜÇÑ"
 SIGNS = "ºª°§–—“”‘’…©«»¿¡•·±µ®€"
@@ -287,22 +290,35 @@ def learn(contexts: dict[tuple[str, str, str, str], int], lang: Language) -> dic
     return out
 
 
-def learn_language(df: DataFrame, text: str) -> Language:
-    """Counts over all rows whose characters are ordinary. The result is bounded by the alphabet, not by the rows."""
+def survey(df: DataFrame, key: str, text: str) -> tuple[Language, DataFrame]:
+    """(language, suspicious rows) in one pass: counts over all rows whose characters are ordinary, and the other rows.
+
+    The counts are bounded by the alphabet, not by the rows; the suspicious rows are
+    written once and read twice.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: Counter = Counter()
+        names = [key, text, "k", "n"]
+        kind = None
         for b in batches:
-            for t in b.column(0).to_pylist():
+            kind = b.schema.field(0).type
+            odd = b.column(2)
+            for t in b.column(1).filter(pc.invert(odd)).to_pylist():
                 language_counts(t, got)
-        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["k", "n"])
+            rows = b.filter(odd)
+            if rows.num_rows:
+                yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.nulls(rows.num_rows, pa.string()), pa.nulls(rows.num_rows, pa.int64())], names=names)
+        if got:
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(got), kind), pa.nulls(len(got), pa.string()), pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=names)
 
-    clean = df.where(F.col(text).isNotNull() & ~F.col(text).rlike(SUSPECT)).select(text)
-    rows = clean.mapInArrow(run, "k string, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
-    return Language(dict(zip(rows.column("k").to_pylist(), rows.column("n").to_pylist())))
+    rows = df.where(F.col(text).isNotNull()).select(key, text, F.col(text).rlike(SUSPECT).alias("odd"))
+    both = written(rows.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, `{text}` string, k string, n bigint"), "survey")
+    counts = both.where("k is not null").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    return Language(dict(zip(counts.column("k").to_pylist(), counts.column("n").to_pylist()))), both.where("k is null").select(key, text)
 
 
-def learn_sources(df: DataFrame, text: str, source: str, lang: Language) -> dict[str, dict[str, str]]:
+def learn_sources(suspects: DataFrame, text: str, lang: Language) -> dict[str, dict[str, str]]:
     """Mappings of all sources from all suspicious rows; counts are bounded by symbols and neighbours."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -317,12 +333,12 @@ def learn_sources(df: DataFrame, text: str, source: str, lang: Language) -> dict
         cols = list(zip(*got)) if got else [(), (), (), ()]
         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cols), pa.array(list(got.values()), pa.int64())], names=["f", "s", "p", "n", "c"])
 
-    rows = df.where(F.col(text).rlike(SUSPECT)).select(text).mapInArrow(run, "f string, s string, p string, n string, c bigint")
+    rows = suspects.select(text).mapInArrow(run, "f string, s string, p string, n string, c bigint")
     t = rows.groupBy("f", "s", "p", "n").agg(F.sum("c").alias("c")).toArrow().to_pylist()
     return learn({(r["f"], r["s"], r["p"], r["n"]): r["c"] for r in t}, lang)
 
 
-def find_garbled(df: DataFrame, key: str, text: str, source: str, restore: bool = True) -> DataFrame:
+def find_garbled(df: DataFrame, key: str, text: str, restore: bool = True) -> DataFrame:
     """(key, source, gain, lost, restored) of the rows whose text is garbled, in whole or in part.
 
     source is the cipher found (null if letters are only lost), gain the log-likelihood won,
@@ -330,8 +346,8 @@ def find_garbled(df: DataFrame, key: str, text: str, source: str, restore: bool
     Null and empty texts are never garbled; repeated rows stay repeated; an empty table
     gives an empty result. Declared encodings are not consulted.
     """
-    lang = learn_language(df, text)
-    tables = learn_sources(df, text, source, lang)
+    lang, suspects = survey(df, key, text)
+    tables = learn_sources(suspects, text, lang)
     sc = df.sparkSession.sparkContext
     model = sc.broadcast((lang, tables))  # bounded by the alphabet
 
@@ -351,5 +367,4 @@ def find_garbled(df: DataFrame, key: str, text: str, source: str, restore: bool
                 back.append(restored(t, tables.get(f, families()[f]), f, lang) if f and restore else None)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), pa.array(fam, pa.string()), pa.array(gains, pa.float64()), pa.array(gone, pa.bool_()), pa.array(back, pa.string())], names=[key, "source", "gain", "lost", "restored"])
 
-    sus = df.where(F.col(text).rlike(SUSPECT)).select(key, text)
-    return sus.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, source string, gain double, lost boolean, restored string")
+    return suspects.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, source string, gain double, lost boolean, restored string")

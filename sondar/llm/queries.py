@@ -40,12 +40,12 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     """Rows whose content was read in a wrong encoding."""
-    return find_garbled(table(spark, d, "fetched_evidence"), "evidence_id", "content", "host", restore=False).select("evidence_id").distinct()
+    return find_garbled(table(spark, d, "fetched_evidence"), "evidence_id", "content", restore=False).select("evidence_id").distinct()
 
 
 def p7_restored(spark: SparkSession, d: str) -> DataFrame:
     """Garbled rows with the cipher source found and the text restored by it."""
-    return find_garbled(table(spark, d, "fetched_evidence"), "evidence_id", "content", "host")
+    return find_garbled(table(spark, d, "fetched_evidence"), "evidence_id", "content")
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
