@@ -299,7 +299,7 @@ def survey(df: DataFrame, key: str, text: str) -> tuple[Language, DataFrame]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: Counter = Counter()
-        names = [key, text, "k", "n"]
+        names = ["__key", "__text", "__k", "__n"]
         kind = None
         for b in batches:
             kind = b.schema.field(0).type
@@ -312,10 +312,10 @@ def survey(df: DataFrame, key: str, text: str) -> tuple[Language, DataFrame]:
         if got:
             yield pa.RecordBatch.from_arrays([pa.nulls(len(got), kind), pa.nulls(len(got), pa.string()), pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=names)
 
-    rows = df.where(F.col(text).isNotNull()).select(key, text, F.col(text).rlike(SUSPECT).alias("odd"))
-    both = written(rows.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, `{text}` string, k string, n bigint"), "survey")
-    counts = both.where("k is not null").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
-    return Language(dict(zip(counts.column("k").to_pylist(), counts.column("n").to_pylist()))), both.where("k is null").select(key, text)
+    rows = df.where(F.col(text).isNotNull()).select(key, text, F.col(text).rlike(SUSPECT).alias("__odd"))
+    both = written(rows.mapInArrow(run, f"__key {df.schema[key].dataType.simpleString()}, __text string, __k string, __n bigint"), "survey")
+    counts = both.where("__k is not null").groupBy(F.col("__k").alias("k")).agg(F.sum("__n").alias("n")).toArrow()
+    return Language(dict(zip(counts.column("k").to_pylist(), counts.column("n").to_pylist()))), both.where("__k is null").select(F.col("__key").alias(key), F.col("__text").alias(text))
 
 
 def learn_sources(suspects: DataFrame, text: str, lang: Language) -> dict[str, dict[str, str]]:

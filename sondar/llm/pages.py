@@ -350,11 +350,11 @@ def labelled_pages(df: DataFrame, key: str, host: str, content: str, src: str, t
     GROUP_PAGES, and than one in HOT_HOSTS of all, is split into parts of GROUP_PAGES; there
     are at most HOT_HOSTS such hosts, so their list is broadcast.
     """
-    pages = df.select(key, F.coalesce(host, F.lit("")).alias("h"), content, src, title)
+    pages = df.select(key, F.coalesce(host, F.lit("")).alias("__h"), content, src, title)
     least = max(GROUP_PAGES, df.count() // HOT_HOSTS)
-    hot = pages.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > least)
-    hot = hot.select("h", F.ceil(F.col("n") / GROUP_PAGES).alias("parts"))
-    grouped = pages.join(F.broadcast(hot), "h", "left").withColumn("part", F.when(F.col("parts").isNotNull(), F.pmod(F.xxhash64(key), F.col("parts"))).otherwise(F.lit(0)))
+    hot = pages.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > least)
+    hot = hot.select("__h", F.ceil(F.col("__n") / GROUP_PAGES).alias("__parts"))
+    grouped = pages.join(F.broadcast(hot), "__h", "left").withColumn("__part", F.when(F.col("__parts").isNotNull(), F.pmod(F.xxhash64(key), F.col("__parts"))).otherwise(F.lit(0)))
 
     def run(t: pa.Table) -> pa.Table:
         c, s, ti = (t.column(x).to_pylist() for x in (content, src, title))
@@ -362,7 +362,7 @@ def labelled_pages(df: DataFrame, key: str, host: str, content: str, src: str, t
         return pa.table({key: t.column(key), title: t.column(title), content: t.column(content), "roles": pa.array(induce(ps), pa.list_(pa.int8()))})
 
     kind = df.schema[key].dataType.simpleString()
-    return written(grouped.groupBy("h", "part").applyInArrow(run, f"`{key}` {kind}, `{title}` string, `{content}` string, roles array<tinyint>"), "pages")
+    return written(grouped.groupBy("__h", "__part").applyInArrow(run, f"`{key}` {kind}, `{title}` string, `{content}` string, roles array<tinyint>"), "pages")
 
 
 def train(labelled: DataFrame, key: str, content: str, title: str, pages: int = TRAIN_PAGES) -> LineModel:
