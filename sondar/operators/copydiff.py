@@ -19,9 +19,9 @@ from sondar.plans.tables import buckets_for
 
 def current_rows(df: DataFrame, key: str, version: str, fields: dict[str, Column]) -> DataFrame:
     """One row a key: the fields of the row with the latest version (null earliest; ties: the greater fields)."""
-    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.col(version).alias("v"), *[c.alias(f) for f, c in fields.items()])
-    best = F.max_by(F.struct(*fields), F.struct(F.col("v").isNotNull(), "v", *fields))
-    return rows.groupBy("k").agg(best.alias("r")).select("k", "r.*")
+    rows = df.where(F.col(key).isNotNull()).select(F.col(key).alias("__k"), F.col(version).alias("__v"), *[c.alias(f) for f, c in fields.items()])
+    best = F.max_by(F.struct(*fields), F.struct(F.col("__v").isNotNull(), "__v", *fields))
+    return rows.groupBy("__k").agg(best.alias("__r")).select("__k", "__r.*")
 
 
 def copy_differences(left: DataFrame, right: DataFrame, key: str, version: str, left_fields: dict[str, Column], right_fields: dict[str, Column], names: tuple[str, str], bucket_rows: int = 20_000) -> DataFrame:
@@ -34,12 +34,12 @@ def copy_differences(left: DataFrame, right: DataFrame, key: str, version: str,
     fields = list(left_fields)
     a, b = current_rows(left, key, version, left_fields), current_rows(right, key, version, {f: right_fields[f] for f in fields})
     n = buckets_for(left.count() + right.count(), bucket_rows, 1)
-    bucket = F.pmod(F.xxhash64("k"), F.lit(n)).alias("bucket")
+    bucket = F.pmod(F.xxhash64("__k"), F.lit(n))
     kind = left.schema[key].dataType.simpleString()
 
     def run(x: pa.Table, y: pa.Table) -> pa.Table:
-        x, y = x.combine_chunks().sort_by("k"), y.combine_chunks().sort_by("k")
-        xk, yk = (t.column("k").to_numpy(zero_copy_only=False) for t in (x, y))
+        x, y = x.combine_chunks().sort_by("__k"), y.combine_chunks().sort_by("__k")
+        xk, yk = (t.column("__k").to_numpy(zero_copy_only=False) for t in (x, y))
         at = np.searchsorted(yk, xk)
         hit = (at < len(yk)) & (yk[np.minimum(at, max(len(yk) - 1, 0))] == xk if len(yk) else np.zeros(len(xk), bool))
         found = np.zeros(len(yk), bool)
@@ -52,8 +52,8 @@ def copy_differences(left: DataFrame, right: DataFrame, key: str, version: str,
             mask = np.asarray(pc.or_(one_null, pc.fill_null(pc.not_equal(u, v), False)))
             keys.append(xk[hit][mask])
             kinds += [f] * int(mask.sum())
-        return pa.table({key: pa.array(np.concatenate(keys)).cast(x.schema.field("k").type), "diff": pa.array(kinds, pa.string())})
+        return pa.table({key: pa.array(np.concatenate(keys)).cast(x.schema.field("__k").type), "diff": pa.array(kinds, pa.string())})
 
     # the bucket is taken as an attribute so that both sides share one hash partitioning
-    a, b = a.withColumn("bucket", bucket), b.withColumn("bucket", bucket)
-    return a.groupBy("bucket").cogroup(b.groupBy("bucket")).applyInArrow(run, f"`{key}` {kind}, diff string")
+    a, b = a.withColumn("__bucket", bucket), b.withColumn("__bucket", bucket)
+    return a.groupBy("__bucket").cogroup(b.groupBy("__bucket")).applyInArrow(run, f"`{key}` {kind}, diff string")
