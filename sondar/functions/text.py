@@ -72,8 +72,12 @@ def around(c: Column, needle: str, radius: int) -> Column:
 
 
 def contains_any(c: Column, phrases: tuple[str, ...]) -> Column:
-    """Whether any of the literal phrases occurs."""
-    out = F.lit(False)
-    for p in phrases:
-        out = out | F.contains(c, F.lit(p))
-    return F.coalesce(out, F.lit(False))
+    """Whether any of the literal phrases occurs; c is bound once and not computed again for each phrase."""
+
+    def found(x: Column) -> Column:
+        out = F.lit(False)
+        for p in phrases:
+            out = out | F.contains(x, F.lit(p))
+        return out
+
+    return F.coalesce(F.exists(F.array(c), found), F.lit(False))
