@@ -2,8 +2,7 @@
 
 Rows are first reduced to profiles (equal normalised attributes), so repeated rows cost
 nothing. Profiles of both tables meet in blocks of rare shared attributes: number and
-year at one place, a place being spelled with up to one letter left out, or the address
-of one announcement. An edge weighs what its profiles share, rare attributes more. The
+year at places up to two letters apart, or the address of one announcement. An edge weighs what its profiles share, rare attributes more. The
 graph is pruned by meta-blocking (an edge far below the best of both its ends goes), and
 similarity then spreads along edges through common neighbours until no edge changes.
 """
@@ -38,6 +37,7 @@ KIND = {
 _KIND_OF = {w: k for k, ws in KIND.items() for w in ws.split()}
 _FIRST = ["consortium", "culture", "pension", "housing", "traffic", "guard", "water", "chamber", "health", "executive"]
 _NUMBER = re.compile(r"(?<!\d)(\d{1,4})\s*(?:/|-|\.|,?\s+de\s|–|_)\s*(?:de\s+)?(\d{4}|\d{2})(?!\d)")
+_FUSED = re.compile(r"\b([Dd][aeo]s?)(?=[A-ZÀ-Ý])|\b([Dd])\s+([aeo]s?)(?=[A-ZÀ-Ý])")
 _NOT_BANCA = set("banca fundacao instituto associacao nucleo empresa de do da e concursos concurso consultoria selecoes selecao avaliacoes gestao publica provas exames integrada".split())
 ACCEPT, FADE, MOST_ROUNDS, HOT = 0.62, 0.97, 6, 400
 
@@ -50,7 +50,9 @@ def fold(s: str | None) -> str:
 
 def body_of(orgao: str | None) -> tuple[str, str]:
     """(place as one word, class) of the name of a public body; empty where it says nothing."""
-    words = re.findall(r"[a-z0-9]+", re.sub(r"[\s/(-]+rs\)?\s*$", "", fold(orgao)))
+    # a connector written into the name, as in "doZamalho" and "d oZamalho", is a word of its own
+    parted = _FUSED.sub(lambda m: f"{m[1] or m[2] + m[3]} ", orgao or "")
+    words = re.findall(r"[a-z0-9]+", re.sub(r"[\s/(-]+rs\)?\s*$", "", fold(parted)))
     kinds = {_KIND_OF[w] for w in words if w in _KIND_OF}
     place = "".join(w for w in words if w not in _KIND_OF)
     return place, next((k for k in _FIRST if k in kinds), "")
@@ -86,9 +88,27 @@ def banca_of(banca: str | None) -> list[str]:
     return sorted({w for w in re.findall(r"[a-z0-9]+", fold(banca)) if w not in _NOT_BANCA})
 
 
+def _thirds(n: int) -> list[tuple[int, int]]:
+    """(start, length) of the three parts that a place of n letters is cut into."""
+    sizes = [n // 3, (n + 1) // 3, (n + 2) // 3]
+    return [(sum(sizes[:i]), sizes[i]) for i in range(3)]
+
+
 def spellings(place: str) -> list[str]:
-    """The place, and the place with each one letter left out: two spellings one slip apart share one of these."""
-    return sorted({place, *(place[:i] + place[i + 1 :] for i in range(len(place)))}) if len(place) > 4 else [place]
+    """Keys of a place; two places up to two letters apart share one, whatever their lengths.
+
+    Two slips leave one third of a place as it is, moved by no more letters than there are
+    slips before it, and than the lengths leave to the slips behind it. Each key is a third
+    with its number and the length of its place: the place's own, and those which places
+    up to two letters shorter could have in common with it.
+    """
+    out, n = set(), len(place)
+    for m in range(max(0, n - 2), n + 1):
+        for i, (start, size) in enumerate(_thirds(m)):
+            for shift in range(max(-i, n - m - (2 - i)), min(i, n - m + 2 - i) + 1):
+                if 0 <= start + shift <= n - size:
+                    out.add(f"{m}.{i}.{place[start + shift : start + shift + size]}")
+    return sorted(out)
 
 
 _PROFILE = "place string, kind string, num int, year int, tipo string, banca array<string>, address string"
@@ -155,7 +175,7 @@ def match_entities(left: DataFrame, right: DataFrame, left_key: str, right_key:
     b = profiled(right, right_key).select(F.lit(1).alias("side"), F.col(right_key).cast("string").alias("rid"), *attrs)
     rows = written(a.unionByName(b).withColumn("pid", F.xxhash64("place", "kind", F.coalesce("num", F.lit(-1)), F.coalesce("year", F.lit(-1)), "tipo", F.array_join("banca", " "), "address")), "rows")
     profiles = written(rows.where("place != ''").groupBy("pid").agg(*[F.first(c).alias(c) for c in attrs], F.min("side").alias("lo"), F.max("side").alias("hi")), "profiles")
-    # blocks: number, year and spelling; or the address, joined by number and place where one address is everywhere
+    # blocks: number, year and a key of the place; or the address, with a key of the place where one address is everywhere
     spelled = _spelled(profiles.where("num is not null")).join(profiles.select("pid", "num", "year"), "pid")
     by_number = spelled.select("pid", F.xxhash64(F.lit("n"), "num", "year", "spelling").alias("block"))
     busy = profiles.where("address != ''").groupBy("address").agg(F.count(F.lit(1)).alias("c"))
