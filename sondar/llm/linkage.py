@@ -39,7 +39,7 @@ _FIRST = ["consortium", "culture", "pension", "housing", "traffic", "guard", "wa
 _NUMBER = re.compile(r"(?<!\d)(\d{1,4})\s*(?:/|-|\.|,?\s+de\s|–|_)\s*(?:de\s+)?(\d{4}|\d{2})(?!\d)")
 _FUSED = re.compile(r"\b([Dd][aeo]s?)(?=[A-ZÀ-Ý])|\b([Dd])\s+([aeo]s?)(?=[A-ZÀ-Ý])")
 _NOT_BANCA = set("banca fundacao instituto associacao nucleo empresa de do da e concursos concurso consultoria selecoes selecao avaliacoes gestao publica provas exames integrada".split())
-ACCEPT, FADE, MOST_ROUNDS, HOT = 0.62, 0.97, 6, 400
+ACCEPT, FADE, MOST_ROUNDS = 0.62, 0.97, 6
 
 
 def fold(s: str | None) -> str:
@@ -175,14 +175,12 @@ def match_entities(left: DataFrame, right: DataFrame, left_key: str, right_key:
     b = profiled(right, right_key).select(F.lit(1).alias("side"), F.col(right_key).cast("string").alias("rid"), *attrs)
     rows = written(a.unionByName(b).withColumn("pid", F.xxhash64("place", "kind", F.coalesce("num", F.lit(-1)), F.coalesce("year", F.lit(-1)), "tipo", F.array_join("banca", " "), "address")), "rows")
     profiles = written(rows.where("place != ''").groupBy("pid").agg(*[F.first(c).alias(c) for c in attrs], F.min("side").alias("lo"), F.max("side").alias("hi")), "profiles")
-    # blocks: number, year and a key of the place; or the address, with a key of the place where one address is everywhere
-    spelled = _spelled(profiles.where("num is not null")).join(profiles.select("pid", "num", "year"), "pid")
-    by_number = spelled.select("pid", F.xxhash64(F.lit("n"), "num", "year", "spelling").alias("block"))
-    busy = profiles.where("address != ''").groupBy("address").agg(F.count(F.lit(1)).alias("c"))
-    addressed = profiles.where("address != ''").join(busy, "address")
-    by_address = addressed.where(F.col("c") <= HOT).select("pid", F.xxhash64(F.lit("u"), "address").alias("block"))
-    hot = _spelled(addressed.where(F.col("c") > HOT)).join(profiles.select("pid", "address"), "pid").select("pid", F.xxhash64(F.lit("h"), "address", "spelling").alias("block"))
-    blocks = written(by_number.unionByName(by_address).unionByName(hot).distinct(), "blocks")
+    # blocks: a key of the place with number and year, or with the address. No pair that agrees is further apart, so an
+    # address that is everywhere is split like any other
+    spelled = _spelled(profiles).join(profiles.select("pid", "num", "year", "address"), "pid")
+    by_number = spelled.where("num is not null").select("pid", F.xxhash64(F.lit("n"), "num", "year", "spelling").alias("block"))
+    by_address = spelled.where("address != ''").select("pid", F.xxhash64(F.lit("u"), "address", "spelling").alias("block"))
+    blocks = written(by_number.unionByName(by_address).distinct(), "blocks")
     x, y = blocks.alias("x"), blocks.alias("y")
     pairs = x.join(y, (F.col("x.block") == F.col("y.block")) & (F.col("x.pid") < F.col("y.pid"))).select(F.col("x.pid").alias("i"), F.col("y.pid").alias("j")).distinct()
     p, q = profiles.alias("p"), profiles.alias("q")

@@ -30,3 +30,13 @@ def test_a_connector_written_into_the_name_is_no_part_of_the_place():
     for name in ("Prefeitura do Zamalho", "Prefeitura doZamalho", "Prefeitura d oZamalho", "Prefeitura dosZamalho"):
         assert linkage.body_of(name) == ("zamalho", "executive")
     assert linkage.body_of("Prefeitura de Dom Pedro")[0] == "dompedro" and linkage.body_of("Prefeitura de Dois Irmãos")[0] == "doisirmaos"
+
+
+def test_an_address_that_is_everywhere_gives_the_same_pairs(spark):
+    url = "https://q.example/concurso/5"
+    a = [(1, "Prefeitura de Jacipoema", None, None, url, "concurso_publico"), (2, "Câmara de Ibá", "4/2020", None, url, "concurso_publico")]
+    b = [(10, "Prefeitura de Jacpioema", "4/2020", None, url, "concurso_publico"), (20, "Câmara de Ibé", None, None, url, "concurso_publico"), (30, "Prefeitura de Jaciboena", None, None, url, "concurso_publico")]
+    few = _pairs(spark, a, b)
+    crowd = [(1000 + i, "Prefeitura de " + chr(97 + i % 26) * 9 + chr(97 + i // 26) * 9, None, None, url, "concurso_publico") for i in range(420)]
+    assert few == {(1, 10), (2, 20), (1, 30)}
+    assert {x for x in _pairs(spark, a, b + crowd) if x[1] < 1000} == few
