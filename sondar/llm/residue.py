@@ -317,7 +317,8 @@ class Residue:
             worst = min(worst, self._window(ts[a : a + WINDOW]))
         if len(self.memo) > 100_000:
             self.memo.clear()
-        self.memo[text] = worst
+        if len(text) <= 400:  # long ones hardly come again
+            self.memo[text] = worst
         return worst
 
     def weight(self, i: int) -> float:
@@ -387,7 +388,7 @@ def is_residue(title: str | None, content: str | None, roles: list[int], model:
     for i, t in enumerate(lines):
         if known and (roles[i] != 1 or title and title.startswith(t.strip())):
             continue
-        held, label = res.passage(t) if len(t) <= 400 and res.likely(t) else (0.0, "none")
+        held, label = res.passage(t) if res.likely(t) else (0.0, "none")
         if held >= CONTAINED:
             if strong is None and (len(terms(t)) > 1 or label == "loading"):
                 strong = label
