@@ -5,7 +5,9 @@ filler (a case wherever they stand), error, block, maintenance and script messag
 case where nothing else is left of the page), and genuine notices that read alike.
 An inverted index over their terms retrieves the nearest exemplars of a passage; the
 TF-IDF weight of the passage's terms that those exemplars hold, over the weight of all
-its terms, is its containment. Term weights come from counts over all pages.
+its terms, is its containment. Term weights come from counts over all pages. Filler is
+looked for in windows of a few words anywhere on a page. Placeholders are told by their
+shape alone: the line around one is ordinary text, so its containment says nothing.
 """
 
 from __future__ import annotations
@@ -173,6 +175,35 @@ App
 Portal
 Sistema
 Transparência
+""",
+    "filler": """
+Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
+Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat
+Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur
+Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum
+Insira aqui o texto principal deste bloco
+Escreva aqui o conteúdo da página e depois publique
+Digite aqui o título e o conteúdo da página
+Substitua este texto pelo conteúdo definitivo
+Edite este bloco de texto antes de publicar a página
+Clique aqui para editar este parágrafo
+Clique para adicionar título ou texto
+Este é um texto de exemplo que deve ser substituído
+Este é um parágrafo de exemplo; apague-o e escreva o seu
+Texto provisório apenas para preencher espaço
+Página de teste criada automaticamente; pode ser apagada
+Modelo de página: troque este texto pelo seu
+Sample page: replace this text with your own content
+This is sample text; replace it with your own words
+Click here to edit this paragraph
+Your text here
+This is an example page; edit or delete it
+Placeholder copy to be replaced before publishing
+Escriba aquí el contenido de la página
+Reemplace este texto por el contenido definitivo
+Haga clic aquí para editar este bloque
+Este es un texto de ejemplo; bórrelo y escriba el suyo
+asdf asdf teste teste qwerty
 """,
     "genuine": """
 Não há certames abertos no momento
@@ -245,6 +276,8 @@ _FILL = re.compile(FILLER_RUNS, re.I)
 #: A passage counts as residue from this containment on; windows are lines, cut at so many words.
 CONTAINED, WINDOW, NEAREST = 0.78, 40, 6
 UNSEEN = 4.6
+#: Filler is looked for in windows of so many words, from so many on; each holds a term of at least this weight.
+FILL_WINDOW, FILL_LEAST, RARE = 12, 4, 3.0
 
 
 def terms(text: str) -> list[str]:
@@ -292,18 +325,26 @@ def _starts() -> frozenset:
     return frozenset(x.strip().lower()[:3] for x in FILLER_LINES.strip().split("\n"))
 
 
+#: Labels of exemplars that make a page a case where nothing else is left of it.
+MESSAGES = tuple(x for x in EXEMPLARS if x not in ("filler", "genuine"))
+_TOKEN = re.compile(r"[a-zç]+")
+_SENTENCE = re.compile(r"(?<=[.!?:;])\s+")
+_OTHER = re.compile(r"[^\x00-\x7e]+")
+
+
 class Residue:
     """Containment of passages in the exemplars, under term weights."""
 
     def __init__(self, idf: dict[str, float]):
         self.idf = idf
         self.memo: dict[str, tuple[float, str]] = {}
+        self._rare: frozenset | None = None
 
     def __getstate__(self):
         return self.idf
 
     def __setstate__(self, idf):
-        self.idf, self.memo = idf, {}
+        self.idf, self.memo, self._rare = idf, {}, None
 
     def passage(self, text: str) -> tuple[float, str]:
         """(containment, label) of a line: its least contained window."""
@@ -326,12 +367,35 @@ class Residue:
         return sum(self.idf.get(t, UNSEEN) for t in index()[0][i][1])
 
     def likely(self, text: str) -> bool:
-        """Whether most of a passage's words occur in exemplars at all; without that no window is contained."""
+        """Whether most of a passage's words occur in exemplars at all; without that it isn't looked up."""
         ts = terms(text)
         post = index()[1]
         return bool(ts) and 2 * sum(t in post for t in ts) >= len(ts)
 
-    def _window(self, ts: list[str]) -> tuple[float, str]:
+    def rare(self) -> frozenset:
+        """Terms of filler exemplars that few pages have."""
+        if self._rare is None:
+            self._rare = frozenset(t for label, ts in index()[0] if label == "filler" for t in ts if t != "0" and self.idf.get(t, UNSEEN) >= RARE)
+        return self._rare
+
+    def filler(self, text: str) -> bool:
+        """Whether some window of a line or sentence of the text is contained in filler exemplars."""
+        rare = self.rare()
+        if len(rare.intersection(_TOKEN.findall(_OTHER.sub("ç", text.lower())))) < 2:
+            return False
+        for part in (x for line in text.split("\n") for x in dict.fromkeys((line, *_SENTENCE.split(line)))):
+            ts = terms(part)
+            if len(ts) < FILL_LEAST or len(rare.intersection(ts)) < 2:
+                continue
+            for a in range(0, max(1, len(ts) - FILL_WINDOW // 2), FILL_WINDOW // 2):
+                w = ts[a : a + FILL_WINDOW]
+                if len(w) >= FILL_LEAST and len(rare.intersection(w)) >= 2:
+                    held, label = self._window(w, ("filler",))
+                    if held >= CONTAINED and label == "filler":
+                        return True
+        return False
+
+    def _window(self, ts: list[str], labels: tuple[str, ...] = MESSAGES) -> tuple[float, str]:
         ex, post = index()
         own = Counter(ts)
         score: Counter = Counter()
@@ -347,7 +411,7 @@ class Residue:
             return sum(self.idf.get(t, UNSEEN) * c for t, c in own.items() if t in has) / total
 
         near = sorted(score, key=lambda i: (-score[i] / (1 + self.weight(i) ** 0.5), i))
-        residue = [i for i in near if ex[i][0] != "genuine"][:NEAREST]
+        residue = [i for i in near if ex[i][0] in labels][:NEAREST]
         # a genuine notice speaks only if the passage has most of it, too
         genuine = [i for i in near if ex[i][0] == "genuine" and score[i] >= 0.6 * self.weight(i)][:1]
         r, g = held(residue), held(genuine)
@@ -380,6 +444,8 @@ def is_residue(title: str | None, content: str | None, roles: list[int], model:
     for part in (title, content):
         if part and placeholder_or_filler(part):
             return "placeholder", roles
+        if part and res.filler(part):
+            return "filler", roles
     lines = [t for _, t in content_lines(content)]
     if not lines:
         return None, roles

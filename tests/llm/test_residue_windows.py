@@ -14,3 +14,11 @@ def test_a_long_line_is_looked_up_by_windows():
     assert reason(MESSAGE * 9, roles=[1]) == "error"
     assert reason(MESSAGE * 9 + GENUINE * 2, roles=[1]) is None
     assert reason(GENUINE * 6) is None
+
+
+def test_filler_in_other_words_is_found_by_containment():
+    for text in ("Insira o texto principal neste bloco e depois publique.", "Sample page: replace this copy with your own words.", "Reemplace este contenido por el texto definitivo."):
+        assert not residue.placeholder_or_filler(text)
+        assert reason(f"{GENUINE}\n{GENUINE}{text} {GENUINE}\n{GENUINE}") == "filler", text
+    for text in ("Preencha à mão: Nome ____ Inscrição ____", "A página do concurso será atualizada após o título definitivo", "O texto da prova de redação deve ter de 20 a 30 linhas", "O edital substitui o anterior em todo o seu conteúdo"):
+        assert reason(f"{GENUINE}\n{text}\n{GENUINE}") is None, text
