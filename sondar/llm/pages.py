@@ -3,9 +3,10 @@
 A page's source is read into a tree: body, the containers that hold lines, and the
 lines. Pages of one host are aligned to a pivot page by simple tree matching (labels
 are tag paths and link-bearing tags, never class names, which sites choose freely).
-Over a group's aligned pages, nodes whose text stays constant are template; the slot
-whose heading varies is content, and so is every container written with that slot's
-own signature on its page. Hot hosts are split into groups of bounded size.
+On a page with a level-1 heading, the heading's container is content, and so is every
+container written with its signature; alignment isn't asked. On the others, aligned slots
+are content that mostly hold such containers on the group's pages, unless all text in
+them stays constant. Hot hosts are split into groups of bounded size.
 
 Pages without usable source (none, or lines under no container) have no tree to
 align. Their lines are judged by a linear model fitted on a bounded sample of pages
@@ -193,7 +194,7 @@ def induce(pages: list[Page]) -> list[list[int]]:
             continue
         content = set()
         if p.heading is not None:
-            # the slot whose heading varies, and every container written in its signature
+            # the heading's container, and every container written in its signature; whether the slot varies isn't asked
             content = {b for b, s in enumerate(p.sigs) if s == p.sigs[p.heading] and (b == p.heading or not linked(p.shape[b]))}
         elif len(trees) > 1:
             for b, s in enumerate(match[id(p)]):
