@@ -1,35 +1,43 @@
 """Main body of pages by wrapper induction.
 
 A page's source is read into a tree: body, the containers that hold lines, and the
-lines. Pages of one host are aligned to a pivot page by simple tree matching (labels
-are tag paths and link-bearing tags, never class names, which sites choose freely).
-On a page with a level-1 heading, the heading's container is content, and so is every
-container written with its signature; alignment isn't asked. On the others, aligned slots
-are content that mostly hold such containers on the group's pages, unless all text in
-them stays constant. Hot hosts are split into groups of bounded size.
-
-Pages without usable source (none, or lines under no container) have no tree to
-align. Their lines are judged by a linear model fitted on a bounded sample of pages
-that the wrapper has labelled, from their own words, their neighbours' and their place.
+lines. Of a tree only the skeleton travels: for each container the hashes of its tag
+path and signature, its leaf labels and the hashes of its lines. Pages of one host are
+aligned to a pivot page by simple tree matching (labels are tag paths and link-bearing
+tags, never class names, which sites choose freely). Aligned slots whose text stays
+constant over the host's pages are template; of those that vary, the slot that varies
+most is the body, a level-1 heading that varies with the pages deciding between several.
+What comes out is the host's wrapper: the signatures of its content containers, which
+then label every page of the host. Hot hosts are split into groups of bounded size.
+
+A page alone in its group has nothing to be aligned to: there the container of its level-1
+heading is the wrapper. Pages without usable source (none, or lines under no container)
+have no tree. Their lines are judged by a linear model fitted on a bounded sample of pages
+that wrappers have labelled, from their own words, their neighbours' and their place.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sondar.plans.lineage import written
 
-#: Pages aligned together at most; labelled pages the line model is fitted on at most.
-GROUP_PAGES, TRAIN_PAGES, EPOCHS, HOT_HOSTS = 64, 1500, 8, 200_000
+#: Pages aligned together at about; labelled pages the line model is fitted on at most.
+GROUP_PAGES, TRAIN_PAGES, EPOCHS = 64, 1500, 8
+#: A line is constant if so many of a group's pages have it; a slot varies from so large a share of lines that aren't.
+CONSTANT, VARIES = 0.2, 0.3
+#: A signature speaks for itself if more than this share of its aligned containers are of one kind.
+CLEAR = 0.8
 _DROP = re.compile(r"<!--.*?-->|<(script|style|noscript|template|head)\b.*?</\1\s*>|<![^>]*>", re.S | re.I)
 _LINK = re.compile(r"<a\b[^>]*>", re.I)
 _HEAD = re.compile(r"<h1\b[^>]*>", re.I)
@@ -134,77 +142,134 @@ def tree_match(a: list[tuple[str, tuple]], b: list[tuple[str, tuple]]) -> list[i
     return out
 
 
-class Page:
-    __slots__ = ("lines", "blocks", "of_line", "shape", "sigs", "heading")
-
-    def __init__(self, content: str | None, src: str | None, title: str | None):
-        self.lines = content_lines(content)
-        tree = read_tree(src) if src else None
-        self.blocks: list[list[int]] = []
-        self.heading = None
-        if tree is None or len(tree) != len(self.lines):
-            self.shape, self.of_line, self.sigs = [], [], []
-            return
-        self.of_line, self.sigs, runs, last = [], [], [], None
-        for k, (c, sig, lab) in enumerate(tree):
-            if c != last:
-                self.blocks.append([])
-                self.sigs.append(sig)
-                runs.append([])
-                last = c
-            self.blocks[-1].append(k)
-            self.of_line.append(len(self.blocks) - 1)
-            if runs[-1] and runs[-1][-1][0] == lab:
-                runs[-1][-1][1] += 1
-            else:
-                runs[-1].append([lab, 1])
-            if lab == "h1" and self.heading is None:
-                self.heading = len(self.blocks) - 1
-        self.shape = [(tag_path(s), tuple((x, n) for x, n in r)) for s, r in zip(self.sigs, runs)]
-
-
-def linked(node: tuple[str, tuple]) -> bool:
+def hash32(text: str) -> int:
+    """A signed 32-bit hash that is never 0 and the same in every worker."""
+    return xxhash.xxh32_intdigest(text) - (1 << 31) or 1
+
+
+class Skeleton:
+    """A page's containers: label (path and leaf runs), signature, lines' hashes, and which one has the heading."""
+
+    __slots__ = ("shape", "sigs", "lines", "heading", "head_text")
+
+    def __init__(self, paths: list[int], sigs: list[int], runs: list[str], sizes: list[int], lines: list[int], heading: int):
+        self.shape = [(p, _runs_of(r)) for p, r in zip(paths, runs)]
+        self.sigs, self.heading = sigs, heading
+        self.lines, at = [], 0
+        for n in sizes:
+            self.lines.append(lines[at : at + n])
+            at += n
+        self.head_text = None
+        if heading >= 0:
+            at = 0
+            for x, n in self.shape[heading][1]:
+                if x == "h":
+                    self.head_text = self.lines[heading][at]
+                    break
+                at += n
+
+
+@lru_cache(maxsize=50_000)
+def _runs_of(text: str) -> tuple[tuple[str, int], ...]:
+    return tuple((r[0], int(r[1:])) for r in text.split())
+
+
+def skeleton(content: str | None, src: str | None) -> tuple[list[int], list[int], list[str], list[int], list[int], int] | None:
+    """(paths, signatures, leaf runs, sizes, line hashes, heading's container or -1); None: no tree that fits the lines."""
+    tree = read_tree(src) if src else None
+    lines = content_lines(content)
+    if tree is None or len(tree) != len(lines):
+        return None
+    paths, sigs, runs, sizes, heading, last = [], [], [], [], -1, None
+    for c, sig, lab in tree:
+        if c != last:
+            paths.append(_hashed(tag_path(sig)))
+            sigs.append(_hashed(sig))
+            runs.append([])
+            sizes.append(0)
+            last = c
+        sizes[-1] += 1
+        if runs[-1] and runs[-1][-1][0] == lab[0]:
+            runs[-1][-1][1] += 1
+        else:
+            runs[-1].append([lab[0], 1])
+        if lab == "h1" and heading < 0:
+            heading = len(sigs) - 1
+    return paths, sigs, [" ".join(f"{x}{n}" for x, n in r) for r in runs], sizes, [hash32(t) for _, t in lines], heading
+
+
+@lru_cache(maxsize=200_000)
+def _hashed(text: str) -> int:
+    return hash32(text)
+
+
+def linked(runs: tuple[tuple[str, int], ...]) -> bool:
     """Whether most leaves of a container bear links."""
-    return 2 * sum(n for x, n in node[1] if x == "a") > sum(n for _, n in node[1])
-
-
-def induce(pages: list[Page]) -> list[list[int]]:
-    """For each page, each line's role: 1 content, 0 template, -1 unknown (no tree)."""
-    trees = [p for p in pages if p.shape]
-    slots: list[Counter] = []
-    votes: list[list[int]] = []
-    match: dict[int, list[int]] = {}
-    if len(trees) > 1:
-        pivot = max(trees, key=lambda p: len(p.shape))
-        slots = [Counter() for _ in pivot.shape]
-        votes = [[0, 0] for _ in pivot.shape]
-        for p in trees:
-            match[id(p)] = tree_match(p.shape, pivot.shape)
-            for b, s in enumerate(match[id(p)]):
-                if s >= 0:
-                    slots[s].update({p.lines[k][1] for k in p.blocks[b]})
-                    votes[s][p.heading is not None and p.sigs[b] == p.sigs[p.heading]] += 1
-    constant = Counter()
-    for c in slots:
-        constant.update({t: n for t, n in c.items() if n > 1})
-    out = []
-    for p in pages:
-        if not p.shape:
-            out.append([-1] * len(p.lines))
-            continue
-        content = set()
-        if p.heading is not None:
-            # the heading's container, and every container written in its signature; whether the slot varies isn't asked
-            content = {b for b, s in enumerate(p.sigs) if s == p.sigs[p.heading] and (b == p.heading or not linked(p.shape[b]))}
-        elif len(trees) > 1:
-            for b, s in enumerate(match[id(p)]):
-                if s >= 0 and votes[s][1] > votes[s][0] and not all(constant[p.lines[k][1]] for k in p.blocks[b]):
-                    content.add(b)
-        if not content:
-            out.append([-1] * len(p.lines))
-            continue
-        out.append([1 if b in content else 0 for b in p.of_line])
-    return out
+    return 2 * sum(n for x, n in runs if x == "a") > sum(n for _, n in runs)
+
+
+def own_name(lines: list[int], sig: int) -> int:
+    """A container's name by its page's lines and its signature."""
+    return hash32(f"{sig} {lines}")
+
+
+def induce(pages: list[Skeleton]) -> list[int]:
+    """The wrapper of pages of one host: the signatures of their content containers; empty if it can't be told.
+
+    Where alignment says of a container otherwise than its signature does, or where pages use a
+    signature for both content and template, the container is named as an exception.
+    """
+    seen, own = set(), []
+    for p in pages:  # repeated pages say nothing about what varies
+        k = tuple(h for block in p.lines for h in block)
+        if k not in seen:
+            seen.add(k)
+            own.append(p)
+    if len(own) < 2:
+        return sorted({p.sigs[p.heading] for p in own if p.heading >= 0})
+    pivot = max(own, key=lambda p: len(p.shape))
+    match = [tree_match(p.shape, pivot.shape) for p in own]
+    has = Counter(h for p in own for h in {h for block in p.lines for h in block})
+    most = max(1.0, CONSTANT * len(own))
+    n = len(pivot.shape)
+    total, varying, heads, text_links = [0] * n, [0] * n, [0] * n, [0] * n
+    for p, m in zip(own, match):
+        for b, s in enumerate(m):
+            if s < 0:
+                continue
+            total[s] += len(p.lines[b])
+            varying[s] += sum(has[h] <= most for h in p.lines[b])
+            text_links[s] += 1 if linked(p.shape[b][1]) else -1
+            heads[s] += b == p.heading and has[p.head_text] <= most
+    free = [s for s in range(n) if total[s] and varying[s] >= VARIES * total[s] and (text_links[s] <= 0 or heads[s])]
+    if not free:
+        return sorted({p.sigs[p.heading] for p in own if p.heading >= 0})
+    body = max(free, key=lambda s: (heads[s], varying[s]))
+    # every slot that varies and is mostly written in the body slot's signatures is content
+    mine = Counter(p.sigs[b] for p, m in zip(own, match) for b, s in enumerate(m) if s == body)
+    like = [[0, 0] for _ in range(n)]
+    for p, m in zip(own, match):
+        for b, s in enumerate(m):
+            if s >= 0:
+                like[s][mine[p.sigs[b]] > 0] += 1
+    good = {s for s in free if s == body or like[s][1] > like[s][0]}
+    # a container says that its signature is template only if its own text is mostly constant
+    votes: dict[int, list[int]] = defaultdict(lambda: [0, 0])
+    boxes = []
+    for p, m in zip(own, match):
+        page = [h for block in p.lines for h in block]
+        for b, s in enumerate(m):
+            fixed = 2 * sum(has[h] > most for h in p.lines[b]) >= len(p.lines[b])
+            if s >= 0 and (s in good or fixed):
+                votes[p.sigs[b]][s in good] += 1
+                boxes.append((page, b, p.sigs[b], s))
+    sure = {x for x, (no, yes) in votes.items() if yes > CLEAR * (no + yes)}
+    never = {x for x, (no, yes) in votes.items() if no > CLEAR * (no + yes)}
+    odd = set()
+    for page, b, x, s in boxes:
+        if x in sure and s not in good and like[s][0] > CLEAR * sum(like[s]) or x not in sure and x not in never and s in good:
+            odd.add(own_name(page, x) ^ b)
+    return sorted(sure | odd)
 
 
 _WORD = re.compile(r"[^\W\d_]+|\d+|[^\w\s]")
@@ -232,9 +297,10 @@ def _own(t: str) -> tuple[list[str], list[str], list[str]]:
 
 def heading_line(lines: list[str], title: str | None) -> int:
     """The first line that begins the title, or -1."""
-    head = line_words((title or "")[:200])
+    title = title or ""
+    head = line_words(title)
     for i, t in enumerate(lines):
-        if len(t) <= 200:
+        if len(t) <= len(title):
             w = line_words(t)
             if len(w) >= 2 and head[: len(w)] == w:
                 return i
@@ -344,30 +410,52 @@ def fit(pages: list[tuple[list[str], str | None, list[int]]], seed: int = 5) ->
     return LineModel(weights, float(bias))
 
 
+def skeletons(df: DataFrame, key: str, host: str, content: str, src: str, title: str) -> DataFrame:
+    """Every page with its skeleton in place of its source, written once; pages without a tree have null there."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ints = pa.list_(pa.int32())
+        for b in batches:
+            got = [skeleton(c, s) for c, s in zip(b.column(3).to_pylist(), b.column(4).to_pylist())]
+            cols = [pa.array([g and g[k] for g in got], t) for k, t in enumerate((ints, ints, pa.list_(pa.string()), ints, ints, pa.int32()))]
+            # a container of links is content only if the heading stands in it
+            keys = [g and [0 if linked(_runs_of(r)) and k != g[5] else x for k, (x, r) in enumerate(zip(g[1], g[2]))] for g in got]
+            names = [g and [x and own_name(g[4], x) ^ b for b, x in enumerate(k)] for g, k in zip(got, keys)]
+            yield pa.RecordBatch.from_arrays([*(b.column(k) for k in range(4)), *cols, pa.array(keys, ints), pa.array(names, ints)], names=[key, "__h", title, content, "__paths", "__sigs", "__runs", "__sizes", "__lines", "__head", "__keys", "__names"])
+
+    kind = df.schema[key].dataType.simpleString()
+    rows = df.select(key, F.coalesce(host, F.lit("")).alias("__h"), title, content, src)
+    made = rows.mapInArrow(run, f"`{key}` {kind}, __h string, `{title}` string, `{content}` string, __paths array<int>, __sigs array<int>, __runs array<string>, __sizes array<int>, __lines array<int>, __head int, __keys array<int>, __names array<int>")
+    return written(made, "skeletons")
+
+
 def labelled_pages(df: DataFrame, key: str, host: str, content: str, src: str, title: str) -> DataFrame:
-    """(key, title, content, roles) of every page: roles has one tinyint for each non-empty line of content.
+    """(key, title, content, roles) of every page: roles has 1 (content) or 0 for each non-empty line; empty: unknown.
 
-    Pages are brought together by (host, part) in one shuffle. A host with more pages than
-    GROUP_PAGES, and than one in HOT_HOSTS of all, is split into parts of GROUP_PAGES; there
-    are at most HOT_HOSTS such hosts, so their list is broadcast.
+    Only skeletons are shuffled, by (host, part): a host with more than GROUP_PAGES pages is
+    split into parts of about so many, whatever the table's size. Sizes of hot hosts and the
+    wrappers are joined without a hint, so the engine broadcasts them only where they are small.
     """
-    pages = df.select(key, F.coalesce(host, F.lit("")).alias("__h"), content, src, title)
-    least = max(GROUP_PAGES, df.count() // HOT_HOSTS)
-    hot = pages.groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > least)
-    hot = hot.select("__h", F.ceil(F.col("__n") / GROUP_PAGES).alias("__parts"))
-    grouped = pages.join(F.broadcast(hot), "__h", "left").withColumn("__part", F.when(F.col("__parts").isNotNull(), F.pmod(F.xxhash64(key), F.col("__parts"))).otherwise(F.lit(0)))
+    pages = skeletons(df, key, host, content, src, title)
+    hot = pages.where("__head is not null").groupBy("__h").agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > GROUP_PAGES)
+    hot = written(hot.select("__h", F.ceil(F.col("__n") / GROUP_PAGES).alias("__parts")), "hosts")
+    part = F.when(F.col("__parts").isNotNull(), F.pmod(F.xxhash64(key), F.col("__parts"))).otherwise(F.lit(0)).alias("__part")
+    parted = pages.join(hot, "__h", "left").select("*", part)
+    bones = parted.where("__head is not null").select("__h", "__part", "__paths", "__sigs", "__runs", "__sizes", "__lines", "__head")
 
     def run(t: pa.Table) -> pa.Table:
-        c, s, ti = (t.column(x).to_pylist() for x in (content, src, title))
-        ps = [Page(a, b, d) for a, b, d in zip(c, s, ti)]
-        return pa.table({key: t.column(key), title: t.column(title), content: t.column(content), "roles": pa.array(induce(ps), pa.list_(pa.int8()))})
+        ps = [Skeleton(*x) for x in zip(*(t.column(k).to_pylist() for k in ("__paths", "__sigs", "__runs", "__sizes", "__lines", "__head")))]
+        return pa.table({"__h": t.column("__h")[:1], "__part": t.column("__part")[:1], "__wrapper": pa.array([induce(ps)], pa.list_(pa.int32()))})
 
-    kind = df.schema[key].dataType.simpleString()
-    return written(grouped.groupBy("__h", "__part").applyInArrow(run, f"`{key}` {kind}, `{title}` string, `{content}` string, roles array<tinyint>"), "pages")
+    wrappers = written(bones.groupBy("__h", "__part").applyInArrow(run, "__h string, __part bigint, __wrapper array<int>"), "wrappers")
+    j = parted.select(key, title, content, "__h", "__part", "__sizes", "__keys", "__names").join(wrappers, ["__h", "__part"], "left")
+    box = F.zip_with("__keys", "__names", lambda x, y: (F.array_contains("__wrapper", x) != F.array_contains("__wrapper", y)).cast("tinyint"))
+    lines = F.flatten(F.zip_with(box, "__sizes", lambda r, n: F.array_repeat(r, n)))
+    none = F.array().cast("array<tinyint>")
+    return j.select(key, title, content, F.when(F.exists(box, lambda r: r == 1), lines).otherwise(none).alias("roles"))
 
 
 def train(labelled: DataFrame, key: str, content: str, title: str, pages: int = TRAIN_PAGES) -> LineModel:
     """The line model, from at most `pages` wrapper-labelled pages, chosen by the hash of their key."""
-    ok = labelled.where("size(roles) > 0 and element_at(roles, 1) >= 0")
-    rows = ok.select(content, title, "roles").orderBy(F.xxhash64(key)).limit(pages).toArrow().to_pylist()
+    rows = labelled.where("size(roles) > 0").select(content, title, "roles").orderBy(F.xxhash64(key)).limit(pages).toArrow().to_pylist()
     return fit([([t for _, t in content_lines(r[content])], r[title], r["roles"]) for r in rows])

@@ -1,13 +1,16 @@
 """Template residue and error pages, found by labelled exemplars.
 
-Exemplars are short passages labelled by what they are: unfilled placeholders and
-filler (a case wherever they stand), error, block, maintenance and script messages (a
-case where nothing else is left of the page), and genuine notices that read alike.
-An inverted index over their terms retrieves the nearest exemplars of a passage; the
-TF-IDF weight of the passage's terms that those exemplars hold, over the weight of all
-its terms, is its containment. Term weights come from counts over all pages. Filler is
-looked for in windows of a few words anywhere on a page. Placeholders are told by their
-shape alone: the line around one is ordinary text, so its containment says nothing.
+Exemplars are short passages labelled by what they are: unfilled placeholders and filler (a
+case wherever they stand), error, block, maintenance and script messages (a case where
+nothing else is left of the page), and genuine notices that read alike. An inverted index
+over their terms retrieves the exemplars that speak about a passage; the TF-IDF weight of the
+passage's terms that those hold, over the weight of all its terms, is its containment.
+Passages are windows of lines and sentences. A bracketed or masked run is a passage of its
+own, with its marks as terms, so that placeholders go through the same index.
+
+Weights come from counts over all pages. Of a message's terms that no exemplar has, those
+count in full that real text is known to use; a word that is strange to all long bodies of
+the corpus says little. So messages in other words than the exemplars' are found as well.
 """
 
 from __future__ import annotations
@@ -17,12 +20,14 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from zlib import crc32
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sondar.llm.pages import LineModel, content_lines, heading_line, labelled_pages, line_words, train
+from sondar.plans.lineage import written
 
 #: Labelled exemplars (fixed values). Figures stand for any figures.
 EXEMPLARS: dict[str, str] = {
@@ -101,6 +106,17 @@ Fallo
 Error interno
 Vuelva a intentarlo
 Intente más tarde
+Sorry, something went wrong on our end
+This site can't be reached. The connection was refused or has timed out
+An error occurred while processing your request
+Oops! That page can't be found
+Error establishing a database connection
+O link que você seguiu pode estar quebrado ou expirado
+Tempo limite da conexão esgotado
+Estamos enfrentando problemas técnicos; desculpe o transtorno
+Serviço em atualização; retorne mais tarde
+Lo sentimos, algo salió mal
+Se produjo un error inesperado al procesar su solicitud
 """,
     "block": """
 Acesso negado
@@ -126,6 +142,12 @@ Checking
 Attention required
 Please verify you are a human
 Estamos comprobando su navegador
+Sorry, you have been blocked
+Complete the captcha to prove that you are not a robot
+Requests from your network are blocked by a security policy
+Pedido bloqueado pelo firewall por atividade suspeita
+Prove que você não é um robô
+Su dirección fue bloqueada; demuestre que no es un robot
 """,
     "maintenance": """
 Sistema temporariamente indisponível
@@ -139,12 +161,19 @@ Esta conta de hospedagem está suspensa. Contate o administrador
 Domínio suspenso
 This account has been suspended
 Cuenta suspendida
+Site fora do ar para manutenção programada
+Estamos melhorando o portal; voltamos logo
+Down for scheduled maintenance; check back soon
+Domínio expirado; contate o provedor e renove o registro
+This domain has expired; contact your provider
 """,
     "session": """
 Sessão expirada
 Sua sessão expirou por inatividade. Faça login novamente
 Your session has expired. Please log in again
 Su sesión ha caducado. Inicie sesión de nuevo
+Token inválido ou expirado; autentique-se novamente
+Session timed out; sign in again
 """,
     "loading": """
 Carregando
@@ -153,6 +182,10 @@ Carregando, aguarde um instante
 Aguarde
 Loading, please wait
 Cargando datos
+Processando, por favor espere
+Redirecionando em alguns segundos
+Redirecting in a moment
+Espere un momento
 """,
     "scripts": """
 Você precisa habilitar o JavaScript para executar este aplicativo
@@ -171,19 +204,19 @@ Please turn on scripts to continue
 Esta aplicación requiere JavaScript para mostrar los datos
 Active los scripts en su navegador para seguir
 Active JavaScript en su navegador para ver el listado
+O navegador precisa ter JavaScript ativado e atualizado
+This site requires JavaScript; enable it in your browser settings
+JavaScript está desactivado; habilite los scripts y las cookies para continuar
 App
 Portal
 Sistema
 Transparência
 """,
     "filler": """
-Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
-Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat
-Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur
-Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum
 Insira aqui o texto principal deste bloco
 Escreva aqui o conteúdo da página e depois publique
 Digite aqui o título e o conteúdo da página
+Digite aqui o conteúdo da página
 Substitua este texto pelo conteúdo definitivo
 Edite este bloco de texto antes de publicar a página
 Clique aqui para editar este parágrafo
@@ -203,7 +236,46 @@ Escriba aquí el contenido de la página
 Reemplace este texto por el contenido definitivo
 Haga clic aquí para editar este bloque
 Este es un texto de ejemplo; bórrelo y escriba el suyo
-asdf asdf teste teste qwerty
+Texto de exemplo
+Imagem ilustrativa: troque pela foto real
+Conteúdo em elaboração; substitua antes de publicar
+Este conteúdo é apenas um modelo e será substituído
+Adicione aqui uma descrição, um subtítulo e uma legenda
+Descreva aqui o serviço, a seção ou a notícia
+Apague este parágrafo e comece a escrever
+Texto fictício para demonstração do leiaute
+Título da página aqui
+Nova página
+Título da seção
+Subtítulo da seção
+Página sem título
+Sample text
+Untitled document
+Click to add title
+Dummy text for layout demonstration only
+Texto provisional, sustituir antes de publicar
+Texto de prueba
+Nueva página
+New page
+Section title
+Hello world
+Write something here, then save and publish
+""",
+    "nonsense": """
+Lorem ipsum dolor sit amet, consectetur adipiscing elit, sed do eiusmod tempor incididunt ut labore et dolore magna aliqua
+Ut enim ad minim veniam, quis nostrud exercitation ullamco laboris nisi ut aliquip ex ea commodo consequat
+Duis aute irure dolor in reprehenderit in voluptate velit esse cillum dolore eu fugiat nulla pariatur
+Excepteur sint occaecat cupidatat non proident, sunt in culpa qui officia deserunt mollit anim id est laborum
+asdf asdf asdfg qwerty qwertyuiop blabla
+""",
+    "placeholder": """
+{{nome}} {% if item %} <% titulo %> ${titulo} #{titulo} [[titulo]] <<NOME>> %(nome)s ##NOME## @@NOME@@ __NOME__ %NOME% {nome} {0}
+[NOME DO CANDIDATO] [NOME DO MUNICÍPIO] [NÚMERO DO EDITAL] [DATA] [CARGO] [TÍTULO DA PÁGINA] [TEXTO AQUI] [VALOR] [LOCAL] [ENDEREÇO] [E-MAIL] [TELEFONE]
+[INSERIR TEXTO] [inserir o texto aqui] [INSERIR DATA] [PREENCHER] [preencher o campo] [COMPLETAR] [INSERTAR TEXTO] [INSERT TEXT HERE] [YOUR NAME] [NAME] [DATE] [TITLE] [object Object]
+<NOME> <DATA> <CARGO> <TÍTULO> <MUNICÍPIO> <inserir texto> <preencher> <insert text> <NAME> <DATE> <FECHA> <NOMBRE>
+(preencher) (preencher com o nome) (preencher o número e a data) (a preencher) (inserir texto) (inserir aqui o link) (informar o valor) (completar) (completar el dato) (rellenar) (insert text here) (insertar el nombre)
+:nome: :data: :titulo: :numero: :name: :date: :title:
+XX/XX/XXXX xxxxx X.XXX,XX TODO: FIXME:
 """,
     "genuine": """
 Não há certames abertos no momento
@@ -221,75 +293,97 @@ Preciso aceitar cookies para me inscrever?
 Preencha à mão: Nome ____ Inscrição ____
 """,
 }
-#: Filler exemplars (fixed values): whole lines, and runs that give filler away inside a line.
-FILLER_LINES = """
-Nova página
-Título da seção
-Subtítulo da seção
-Título da página
-Título da notícia
-Título do documento
-Página sem título
-Página de teste
-Página de exemplo
-Conteúdo de teste
-Conteúdo de exemplo
-Texto de teste
-Escreva aqui o conteúdo
-Insira aqui o texto
-Digite aqui o texto
-Clique aqui para editar
-Clique para adicionar título
-Clique para adicionar texto
-Bloco de texto
-Sample text
-Sample page
-Untitled document
-Your text here
-Click to edit
-Click to add title
-Texto de prueba
-Texto de ejemplo
-Escriba aquí su texto
-Nueva página
-Título de la sección
-New page
-Section title
-Hello world
-asdf asdf asdf
-teste teste teste
-"""
-FILLER_RUNS = r"lorem\s+ipsum|ipsum\s+dolor|(?:texto de (?:exemplo|ejemplo|prueba)[\s.,]*){2}|(?:sample text[\s.,]*){2}|\bx{6,}\b"
-#: Shapes of unfilled placeholders (fixed values); N stands for a name.
-_N = r"[^\W\d]\w*"
-PLACEHOLDERS = (
-    r"\{\{[^{}\n]{0,80}\}\}|\{%[^{}\n]{1,80}%\}|<%[^<>\n]{0,80}%>|\$\{\s*[^\W\d][\w.]*\s*\}|#\{\s*[^\W\d][\w.]*\s*\}|\[\[\s*[^\W\d][\w .|:-]*\]\]"
-    rf"|<<\s*{_N}(?:[ _.-]\w+)*\s*>>|##\s?{_N}\s?##|@@\s?{_N}\s?@@|(?<![\w])__{_N[:-3]}[^\W_](?:\w*[^\W_])?__(?!\w)|(?<![\w%])%[A-Za-zÀ-ÿ]+(?:_\w+)*%(?![\w%])|(?<![\w{{$#])\{{\s?{_N}\s?\}}(?!\}})"
-    r"|\(\s*(?:preencher|completar|rellenar|inserir|informar|insert)\b[^()\n]{0,60}\)|\[\s*(?:INSERIR|INSERIR AQUI|PREENCHER|INSERTAR|COMPLETAR|INSERT|inserir|preencher|insertar)\b[^\[\]\n]{0,60}\]"
-    r"|\bX{2}(?:/X{2}/|\s+de\s+X{3,})\S*(?:\s+de\s+(?:20)?X{2,4}\b|\s+de\s+\d{0,2}XX)?|\bXX de X{4,}|\[object Object\]|(?<!\w)%\((?:\w+)\)s|&lt;%|\bTODO:|\bFIXME\b"
-)
-_PLACE = re.compile(PLACEHOLDERS)
-#: What any placeholder or filler run has in lower case; most texts have none of these.
-_TRIGGERS = ("{", "<%", "<<", "[[", "##", "# ", "@@", "@ ", "__", "(preench", "(complet", "(rellen", "(inser", "(inform", "( ", "[inser", "[preench", "[complet", "[ ", "[object", "xx", "ipsum", "texto de e", "texto de p", "sample text", "&lt;", "todo:", "fixme")
-_PERCENT = re.compile(r"%[^\W\d]|%\(")
-_FILL = re.compile(FILLER_RUNS, re.I)
-#: A passage counts as residue from this containment on; windows are lines, cut at so many words.
-CONTAINED, WINDOW, NEAREST = 0.78, 40, 6
-UNSEEN = 4.6
-#: Filler is looked for in windows of so many words, from so many on; each holds a term of at least this weight.
-FILL_WINDOW, FILL_LEAST, RARE = 12, 4, 3.0
-
-
-def terms(text: str) -> list[str]:
-    """Terms of a passage: words with figures masked; a mix of letters and figures counts as a figure."""
-    t = re.sub(r"\b(?=\w*\d)\w+\b", "0", text)
-    return [w for w in line_words(t) if w.isalnum() or w == "0"]
+#: Labels of exemplars that make a page a case where nothing else is left of it.
+MESSAGES = tuple(x for x in EXEMPLARS if x not in ("filler", "nonsense", "placeholder", "genuine"))
+#: A passage counts as residue from this containment on, on a page that has no other text at all from the lower one.
+CONTAINED, BARE = 0.78, 0.55
+#: Passages are looked at in windows of so many terms; filler in narrower ones, of at least so many terms.
+WINDOW, FILL_WINDOW, FILL_LEAST, FEW = 40, 12, 4, 6
+#: Weight of a term that no page has; of one that only residue or rare text has; least weight of a rare filler term.
+UNSEEN, STRANGE, RARE = 4.6, 0.7, 3.0
+#: A term is typical of real text if more than this share of pages with a long body have it there.
+TYPICAL, LONG, BUCKETS = 2e-4, 6, 1 << 20
+#: An exemplar is asked about a passage if the passage has this share of its weight.
+SPEAKS = 0.15
+STEM = 5
+#: So many lines of a message are judged together.
+FEW_LINES = 4
+
+_FIGURE = re.compile(r"\b(?=\w*\d)\w+\b")
+_TOKEN = re.compile(r"[a-zç]+")
+_SENTENCE = re.compile(r"(?<=[.!?:;])\s+")
+_OTHER = re.compile(r"[^\x00-\x7e]+")
+#: Pairs of marks that a template engine writes around a name (fixed values).
+_CODE = (("{{", "}}"), ("{%", "%}"), ("<%", "%>"), ("${", "}"), ("#{", "}"), ("[[", "]]"), ("<<", ">>"), ("%(", ")s"), ("##", "##"), ("@@", "@@"), ("__", "__"), ("%", "%"), ("{", "}"))
+#: Pairs of marks that ordinary text has, too: what stands between them decides.
+_SOFT = (("[", "]"), ("<", ">"), ("(", ")"), (":", ":"))
+_MASK = re.compile(r"(?<!\w)(?:[Xx]{2,}(?:(?:/|\s+de\s+)(?:20)?[Xx]{2,})+|[Xx]{5,}|[Xx]+(?:\.[Xx]{3})*,[Xx]{2})(?!\w)|\b(?:TODO|FIXME):")
+_NAME = re.compile(r"[=\-#&/!*\s]*[^\W\d][\w.|:\- ]*|\d+")
+
+
+def _run_pattern() -> re.Pattern:
+    out = []
+    for a, b in _CODE + _SOFT:
+        shut = re.escape(b[0])
+        before, after = "", ""
+        if a in ("##", "@@"):
+            inner = rf"\s?[^\W\d]\w*\s?"
+        elif a == "__":
+            before, inner, after = r"(?<!\w)", r"[^\W\d_](?:\w*[^\W_])?", r"(?!\w)"
+        elif a == "%":
+            before, inner, after = r"(?<![\w%])", r"[^\W\d_]+(?:_\w+)*", r"(?![\w%])"
+        elif a == ":":
+            before, inner, after = r"(?<![\w:/])", r"[^\W\d]\w*", r"(?![\w/])"
+        elif a in ("{", "<", "[", "("):
+            inner = r"[^\[\]<>(){}\n]+"
+        else:
+            inner = rf"[^{re.escape(a[-1])}{shut}\n]+"
+        out.append(before + re.escape(a) + inner + re.escape(b) + after)
+    return re.compile("|".join(out))
+
+
+_RUN = _run_pattern()
+
+
+def stems(text: str) -> list[str]:
+    """Terms of a passage: words cut to STEM letters, figures masked; a mix of letters and figures counts as a figure."""
+    return [w[:STEM] for w in line_words(_FIGURE.sub("0", text)) if w.isalnum() or w == "0"]
+
+
+def shapes(text: str) -> Iterator[list[str]]:
+    """The terms of each bracketed or masked run of a text: its marks, and what stands between them.
+
+    Between marks of a template engine any name is one and the same term; between marks that
+    ordinary text has, too, the words are kept, with a term for capitals.
+    """
+    if "&lt;" in text:
+        text = text.replace("&lt;", "<").replace("&gt;", ">")
+    if any(c in text for c in "{<[%@#(_:$"):
+        for m in _RUN.finditer(text):
+            run = m.group()
+            for a, b in _CODE:
+                if run.startswith(a) and run.endswith(b) and len(run) >= len(a) + len(b):
+                    inner = run[len(a) : len(run) - len(b)].strip()
+                    yield [f"{a} {b}", "NAME"] if _NAME.fullmatch(inner) else [f"{a} {b}", *stems(inner)]
+                    break
+            else:
+                inner = run[1:-1]
+                ts = stems(inner)
+                if ts:
+                    yield [f"{run[0]} {run[-1]}", *(["CAPS"] if inner.isupper() else []), *ts]
+    if "x" in text or "X" in text or "TODO" in text or "FIXME" in text:
+        for m in _MASK.finditer(text):
+            yield ["mask todo" if m.group().endswith(":") else "mask x"]
 
 
 @lru_cache(maxsize=1)
 def index() -> tuple[list[tuple[str, frozenset]], dict[str, list[int]]]:
     """Exemplars (label, terms) and the inverted index term -> exemplars."""
-    ex = [(label, frozenset(terms(line))) for label, block in EXEMPLARS.items() for line in block.strip().split("\n")]
+    ex = []
+    for label, block in EXEMPLARS.items():
+        for line in block.strip().split("\n"):
+            for ts in shapes(line) if label == "placeholder" else [stems(line)]:
+                ex.append((label, frozenset(ts)))
     post = defaultdict(list)
     for i, (_, ts) in enumerate(ex):
         for t in ts:
@@ -297,65 +391,64 @@ def index() -> tuple[list[tuple[str, frozenset]], dict[str, list[int]]]:
     return ex, dict(post)
 
 
-def _plain(text: str) -> str:
-    return re.sub(r"[^\x00-\x7e]+|(?<=[a-z])\?(?=[a-z])", "ç", text.lower())
-
-
 @lru_cache(maxsize=1)
-def _filler_lines() -> frozenset:
-    return frozenset(_plain(x.strip()) for x in FILLER_LINES.strip().split("\n"))
-
-
-def placeholder_or_filler(text: str) -> bool:
-    """Whether a passage holds an unfilled placeholder or filler text."""
-    low = text.lower()
-    if (any(t in low for t in _TRIGGERS) or "%" in low and _PERCENT.search(low)) and (_PLACE.search(text) or _FILL.search(text)):
-        return True
-    first, whole = _starts(), _filler_lines()
-    for x in low.split("\n"):
-        if x[:3] in first or len(x) > 1 and not x[1].isalpha() | (x[1] < "\x7f"):
-            if len(x) < 70 and _plain(x.strip(" .:\t\r")) in whole:
-                return True
-    return False
+def _filler() -> tuple[list[frozenset], list[str]]:
+    lines = EXEMPLARS["filler"].strip().split("\n")
+    return [frozenset(stems(x)) for x in lines], lines
 
 
 @lru_cache(maxsize=1)
-def _starts() -> frozenset:
-    """First characters of filler lines, to spare the others a comparison."""
-    return frozenset(x.strip().lower()[:3] for x in FILLER_LINES.strip().split("\n"))
+def _nonsense() -> frozenset:
+    return frozenset(t for t in stems(EXEMPLARS["nonsense"]) if len(t) > 3)
 
 
-#: Labels of exemplars that make a page a case where nothing else is left of it.
-MESSAGES = tuple(x for x in EXEMPLARS if x not in ("filler", "genuine"))
-_TOKEN = re.compile(r"[a-zç]+")
-_SENTENCE = re.compile(r"(?<=[.!?:;])\s+")
-_OTHER = re.compile(r"[^\x00-\x7e]+")
+def bucket(term: str) -> int:
+    """The bucket that a term's count goes to; the same in every worker."""
+    return crc32(term.encode()) & (BUCKETS - 1)
 
 
 class Residue:
-    """Containment of passages in the exemplars, under term weights."""
+    """Containment of passages in the exemplars, under term weights learned from all pages."""
 
-    def __init__(self, idf: dict[str, float]):
-        self.idf = idf
+    def __init__(self, idf: dict[str, float], typical: dict[int, float] = {}):
+        self.idf, self.typical = idf, typical
+        self._reset()
+
+    def _reset(self) -> None:
         self.memo: dict[str, tuple[float, str]] = {}
         self._rare: frozenset | None = None
+        self._known: dict[str, tuple[float, float]] = {}
+        self._short: tuple[frozenset, frozenset] | None = None
+        self._weights: list[float] | None = None
 
     def __getstate__(self):
-        return self.idf
-
-    def __setstate__(self, idf):
-        self.idf, self.memo, self._rare = idf, {}, None
+        return self.idf, self.typical
+
+    def __setstate__(self, state):
+        self.idf, self.typical = state
+        self._reset()
+
+    def against(self, term: str, lenient: bool) -> float:
+        """Weight of a term that speaks against containment."""
+        got = self._known.get(term)
+        if got is None:
+            if len(self._known) > 200_000:
+                self._known.clear()
+            rare = self.typical.get(bucket(term), 0.0)
+            # a term that real text hardly uses says little; one that all text uses, too
+            got = self._known[term] = min(rare, STRANGE - math.log(TYPICAL) - rare) if rare else STRANGE, self.idf.get(term, rare or UNSEEN)
+        return got[0] if lenient and self.typical else got[1]
 
     def passage(self, text: str) -> tuple[float, str]:
         """(containment, label) of a line: its least contained window."""
         if text in self.memo:
             return self.memo[text]
-        ts = terms(text)
-        if not ts:
+        ts = stems(text)
+        if not ts or set(ts) == {"0"}:
             return 1.0, "blank"
         worst = (2.0, "")
         for a in range(0, max(1, len(ts) - WINDOW // 2), WINDOW // 2):
-            worst = min(worst, self._window(ts[a : a + WINDOW]))
+            worst = min(worst, self._window(ts[a : a + WINDOW], MESSAGES, True))
         if len(self.memo) > 100_000:
             self.memo.clear()
         if len(text) <= 400:  # long ones hardly come again
@@ -364,54 +457,81 @@ class Residue:
 
     def weight(self, i: int) -> float:
         """An exemplar's whole weight."""
-        return sum(self.idf.get(t, UNSEEN) for t in index()[0][i][1])
+        if self._weights is None:
+            self._weights = [sum(self.idf.get(t, UNSEEN) for t in ts) for _, ts in index()[0]]
+        return self._weights[i]
 
-    def likely(self, text: str) -> bool:
-        """Whether most of a passage's words occur in exemplars at all; without that it isn't looked up."""
-        ts = terms(text)
-        post = index()[1]
-        return bool(ts) and 2 * sum(t in post for t in ts) >= len(ts)
+    def placeholder(self, text: str) -> bool:
+        """Whether some bracketed or masked run of the text is contained in placeholder exemplars."""
+        return any(self._window(ts, ("placeholder",), False)[0] >= CONTAINED for ts in shapes(text))
 
     def rare(self) -> frozenset:
         """Terms of filler exemplars that few pages have."""
         if self._rare is None:
-            self._rare = frozenset(t for label, ts in index()[0] if label == "filler" for t in ts if t != "0" and self.idf.get(t, UNSEEN) >= RARE)
+            self._rare = frozenset(t for label, ts in index()[0] if label in ("filler", "nonsense") for t in ts if t != "0" and self.idf.get(t, UNSEEN) >= RARE)
         return self._rare
 
+    def _few(self) -> tuple[frozenset, frozenset]:
+        """Term sets of filler exemplars too short for a window, and how they begin: only a whole line of them is filler."""
+        if self._short is None:
+            few = [(ts, line) for ts, line in zip(*_filler()) if len(ts) <= FEW]
+            self._short = frozenset(ts for ts, _ in few), frozenset(line[:3].lower() for _, line in few)
+        return self._short
+
     def filler(self, text: str) -> bool:
-        """Whether some window of a line or sentence of the text is contained in filler exemplars."""
+        """Whether some window of a line or sentence of the text is contained in filler exemplars, or a short line is one.
+
+        Two nonsense words side by side are enough.
+        """
+        few, begin = self._few()
+        lines = text.split("\n")
+        for line in lines:
+            if line.lstrip()[:3].lower() in begin and frozenset(stems(line)) in few:
+                return True
         rare = self.rare()
-        if len(rare.intersection(_TOKEN.findall(_OTHER.sub("ç", text.lower())))) < 2:
+        if rare.isdisjoint(w[:STEM] for w in _TOKEN.findall(_OTHER.sub("ç", text.lower()))):
             return False
-        for part in (x for line in text.split("\n") for x in dict.fromkeys((line, *_SENTENCE.split(line)))):
-            ts = terms(part)
-            if len(ts) < FILL_LEAST or len(rare.intersection(ts)) < 2:
-                continue
-            for a in range(0, max(1, len(ts) - FILL_WINDOW // 2), FILL_WINDOW // 2):
-                w = ts[a : a + FILL_WINDOW]
-                if len(w) >= FILL_LEAST and len(rare.intersection(w)) >= 2:
-                    held, label = self._window(w, ("filler",))
-                    if held >= CONTAINED and label == "filler":
+        nonsense = _nonsense()
+        for line in lines:
+            for part in dict.fromkeys((line, *_SENTENCE.split(line))):
+                ts = stems(part)
+                if len(rare.intersection(ts)) < 2:
+                    continue
+                if any(x in nonsense and y in nonsense and x in rare and y in rare for x, y in zip(ts, ts[1:])):
+                    return True
+                for a in range(0, max(1, len(ts) - FILL_WINDOW // 2), FILL_WINDOW // 2):
+                    w = ts[a : a + FILL_WINDOW]
+                    if len(w) >= FILL_LEAST and len(rare.intersection(w)) >= 2 and self._window(w, ("filler", "nonsense"), False)[0] >= CONTAINED:
                         return True
         return False
 
-    def _window(self, ts: list[str], labels: tuple[str, ...] = MESSAGES) -> tuple[float, str]:
+    def _window(self, ts: list[str], labels: tuple[str, ...], lenient: bool) -> tuple[float, str]:
+        """(containment in exemplars of these labels, the nearest one's label) of terms.
+
+        A term counts once, or, if lenient, as often as it stands. Terms that no exemplar has speak against it: with their full weight, or, if lenient, only
+        where real text is known to use them.
+        """
         ex, post = index()
-        own = Counter(ts)
+        own = Counter(ts if lenient else set(ts))
         score: Counter = Counter()
         for t in own:
             for i in post.get(t, ()):
                 score[i] += self.idf.get(t, UNSEEN)
         if not score:
             return 0.0, "none"
-        total = sum(self.idf.get(t, UNSEEN) * c for t, c in own.items())
 
         def held(ids) -> float:
             has = frozenset().union(*(ex[i][1] for i in ids)) if ids else frozenset()
-            return sum(self.idf.get(t, UNSEEN) * c for t, c in own.items() if t in has) / total
-
-        near = sorted(score, key=lambda i: (-score[i] / (1 + self.weight(i) ** 0.5), i))
-        residue = [i for i in near if ex[i][0] in labels][:NEAREST]
+            r = g = 0.0
+            for t, c in own.items():
+                if t in has:
+                    r += self.idf.get(t, UNSEEN) * c
+                else:
+                    g += c * self.against(t, lenient)
+            return r / (r + g) if r else 0.0
+
+        near = sorted((i for i in score if score[i] >= SPEAKS * self.weight(i)), key=lambda i: (-score[i] / (1 + self.weight(i) ** 0.5), i))
+        residue = [i for i in near if ex[i][0] in labels]
         # a genuine notice speaks only if the passage has most of it, too
         genuine = [i for i in near if ex[i][0] == "genuine" and score[i] >= 0.6 * self.weight(i)][:1]
         r, g = held(residue), held(genuine)
@@ -419,62 +539,91 @@ class Residue:
         return (r, label) if r > g + 1e-9 else (0.0, "genuine")
 
 
-def learn_weights(labelled: DataFrame, content: str) -> dict[str, float]:
-    """Inverse document frequencies of the exemplars' terms over all pages (bounded by the exemplars)."""
+def learn_weights(labelled: DataFrame, content: str) -> Residue:
+    """Weights of the exemplars' terms from all pages, and the terms that real text uses, from all long bodies.
+
+    Both are bounded: by the exemplars' terms, and by the buckets that more than TYPICAL of all pages reach.
+    """
     vocab = frozenset(index()[1])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got: Counter = Counter()
-        n = 0
+        real: Counter = Counter()
+        at: dict[str, int] = {}
+        n = long = 0
         for b in batches:
-            for t in b.column(0).to_pylist():
+            for text, roles in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 n += 1
-                got.update(vocab.intersection(re.findall(r"[a-zç]+", re.sub(r"[^\x00-\x7e]+", "ç", (t or "").lower()))))
-        got["\x00"] = n
-        yield pa.RecordBatch.from_arrays([pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=["t", "n"])
-
-    rows = labelled.select(content).mapInArrow(run, "t string, n bigint").groupBy("t").agg(F.sum("n").alias("n")).toArrow().to_pylist()
-    df = {r["t"]: r["n"] for r in rows}
+                if not text:
+                    continue
+                got.update(vocab.intersection(w[:STEM] for w in _TOKEN.findall(_OTHER.sub("ç", text.lower()))))
+                got.update({t for ts in shapes(text) for t in ts if t in vocab and (" " in t or t.isupper())})
+                if roles and sum(roles) >= LONG:
+                    long += 1
+                    body = " ".join(t for (_, t), r in zip(content_lines(text), roles) if r == 1)
+                    for w in {w[:STEM] for w in _TOKEN.findall(_OTHER.sub("ç", body.lower()))}:
+                        k = at.get(w)
+                        if k is None:
+                            k = at[w] = bucket(w)
+                        real[k] += 1
+                if len(at) > 1_000_000:
+                    at.clear()
+        got["\x00"], real[-1] = n, long
+        ts, ks = list(got), list(real)
+        cols = [pa.array(ts + [None] * len(ks), pa.string()), pa.array([None] * len(ts) + ks, pa.int32()), pa.array(list(got.values()) + list(real.values()), pa.int64())]
+        yield pa.RecordBatch.from_arrays(cols, names=["t", "k", "n"])
+
+    counts = written(labelled.select(content, "roles").mapInArrow(run, "t string, k int, n bigint").groupBy("t", "k").agg(F.sum("n").alias("n")), "terms")
+    df = {r["t"]: r["n"] for r in counts.where("t is not null").toArrow().to_pylist()}
+    long = counts.where("k = -1").agg(F.sum("n")).first()[0] or 0
+    usual = counts.where((F.col("k") >= 0) & (F.col("n") > TYPICAL * long)).select("k", "n").toArrow()
     n = max(1, df.pop("\x00", 1))
-    return {t: max(0.3, math.log(n / c)) for t, c in df.items()} | {"0": 0.5}
+    typical = {k: max(0.3, math.log(long / c)) for k, c in zip(usual.column("k").to_pylist(), usual.column("n").to_pylist())}
+    return Residue({t: max(0.3, math.log(n / c)) for t, c in df.items()} | {"0": 0.5}, typical)
 
 
 def is_residue(title: str | None, content: str | None, roles: list[int], model: LineModel, res: Residue) -> tuple[str | None, list[int]]:
-    """(reason or None, roles) of a page. roles are completed by the line model where the wrapper knew none, if needed."""
+    """(reason or None, roles) of a page; roles are empty where the wrapper knew none."""
     for part in (title, content):
-        if part and placeholder_or_filler(part):
+        if part and res.placeholder(part):
             return "placeholder", roles
         if part and res.filler(part):
             return "filler", roles
     lines = [t for _, t in content_lines(content)]
     if not lines:
         return None, roles
-    known = bool(roles) and roles[0] >= 0
-    strong, left = None, []
-    for i, t in enumerate(lines):
-        if known and (roles[i] != 1 or title and title.startswith(t.strip())):
+    known = bool(roles)
+    name = (title or "").strip().lower()
+    first = heading_line(lines, title)
+    body = [i for i in range(len(lines)) if not known or roles[i] == 1]
+    heads = {i for i in body if i == first or name and name.startswith(lines[i].strip().lower())}
+    # a page of a few lines that no site surrounds has to be less sure
+    bare = len(body) == len(lines) <= LONG
+    least = BARE if bare else CONTAINED
+    strong, left, short = None, [], known or bare
+    for i in body:
+        if i in heads and short:
             continue
-        held, label = res.passage(t) if res.likely(t) else (0.0, "none")
-        if held >= CONTAINED:
-            if strong is None and (len(terms(t)) > 1 or label == "loading"):
+        held, label = res.passage(lines[i])
+        if held >= least:
+            if strong is None and label != "blank" and (len(stems(lines[i])) > 1 or label == "loading"):
                 strong = label
-        elif terms(t):
-            if known and not (title and heading_line([t], title) == 0):
-                return None, roles  # real text is left
+        elif i not in heads:
             left.append(i)
-    if known:
-        main = [i for i, r in enumerate(roles) if r == 1]
-        if strong is None and main and all(title and title.startswith(lines[i].strip()) for i in main):
-            # nothing but the heading: it may itself be the message
-            held, label = min(res.passage(lines[i]) for i in main)
-            strong = label if held >= CONTAINED and label not in ("blank", "genuine", "scripts") else None
+            if short and (label == "genuine" or len(left) > FEW_LINES):
+                return None, roles  # real text is left
+    if short:
+        said = [i for i in body if i not in heads]
+        if left or not said:
+            # the lines together, or nothing but the heading, may be the message
+            held, label = res.passage("\n".join(lines[i] for i in said or body))
+            strong = label if held >= least and label not in ("blank", "genuine") and (said or label != "scripts") and len(said) <= FEW_LINES else None
         return strong, roles
     if strong is None:
         return None, roles
     if left:
-        head = heading_line(lines, title)
         z = model.scores(lines, title)
-        if any(z[i] > 0 for i in left if i != head):
+        if any(z[i] > 0 for i in left):
             return None, roles
     return strong, roles
 
@@ -483,7 +632,7 @@ def judged_pages(df: DataFrame, key: str, host: str, content: str, src: str, tit
     """(labelled pages, broadcast of the line model and the residue weights); the model and weights are bounded."""
     labelled = labelled_pages(df, key, host, content, src, title)
     model = train(labelled, key, content, title)
-    res = Residue(learn_weights(labelled, content))
+    res = learn_weights(labelled, content)
     return labelled, df.sparkSession.sparkContext.broadcast((model, res))
 
 
@@ -523,7 +672,7 @@ def main_body(df: DataFrame, key: str, host: str, content: str, src: str, title:
                 if not c or is_residue(t, c, r, model, res)[0]:
                     continue
                 lines = content_lines(c)
-                if not (r and r[0] >= 0):
+                if not r:
                     r = model.label([x for _, x in lines], t)
                 for (k, x), y in zip(lines, r):
                     if y == 1:

@@ -139,6 +139,26 @@ def page(i, menu, body, cls):
     return head, "\n".join(x for _, ls in blocks for x in ls), "<html><head><title>t</title></head><body>" + "\n".join(b for b, _ in blocks) + "</body></html>"
 
 
+def test_alignment_decides_what_is_content():
+    """A heading that never varies says nothing: without alignment its box would be the body."""
+
+    def one(i):
+        content = f"Prefeitura\nMenu\nNotícia {i}\nTexto próprio {i} da página\nRua A"
+        src = f'<body><div class="top"><h1>Prefeitura</h1></div><div class="nav"><a href="/">Menu</a></div><div class="main">Notícia {i}<br>Texto próprio {i} da página</div><div class="foot">Rua A</div></body>'
+        return pages.Skeleton(*pages.skeleton(content, src))
+
+    site = [one(i) for i in range(12)]
+    wrapper = pages.induce(site)
+    assert [x in wrapper for x in site[0].sigs] == [False, False, True, False]
+    alone = pages.induce(site[:1])
+    assert [x in alone for x in site[0].sigs] == [True, False, False, False]
+
+
+def test_long_headings_and_titles_are_read_whole():
+    long = "Edital " + "muito " * 80 + "longo"
+    assert pages.heading_line(["Menu", long], long + " | Prefeitura") == 1
+
+
 def test_tree_matching_is_optimal_on_small_trees():
     import itertools
 
@@ -184,14 +204,16 @@ def test_main_body_and_residue(spark):
     assert residue.find_residue(empty, *args).count() == 0 and residue.main_body(empty, *args).count() == 0
 
 
-@pytest.mark.parametrize("text", ["{{ titulo }}", "a ${cargo} b", "<%= orgao %>", "{% if x %}", "[[vagas]]", "<<data publicacao>>", "##ORGAO##", "@@texto@@", "__TITULO__", "%ORGAO%", "{orgao}", "(preencher cargo)", "[INSERIR TITULO AQUI]", "XX de XXXXXX de 20XX", "Lorem ipsum purel", "Título da seção", "Texto de exemplo Texto de exemplo"])
+@pytest.mark.parametrize("text", ["{{ titulo }}", "a ${cargo} b", "<%= orgao %>", "{% if x %}", "[[vagas]]", "<<data publicacao>>", "##ORGAO##", "@@texto@@", "__TITULO__", "%ORGAO%", "{orgao}", "(preencher cargo)", "[INSERIR TITULO AQUI]", "XX de XXXXXX de 20XX", "Lorem ipsum purel", "Título da seção", "Texto de exemplo Texto de exemplo", "[NOME DO CANDIDATO]", "<NOME>", "{0}", "o candidato :nome: fica", "{{ " + "x" * 500 + " }}", "Duis aute irure dolor in reprehenderit in voluptate velit"])
 def test_placeholders(text):
-    assert residue.placeholder_or_filler(f"antes\n{text}\ndepois")
+    res = residue.Residue({})
+    assert res.placeholder(f"antes\n{text}\ndepois") or res.filler(f"antes\n{text}\ndepois")
 
 
-@pytest.mark.parametrize("text", ["Nome ______ Inscrição ______", "A = {1, 2, 3}", "100% das vagas, 20% às cotas", "os termos <exclusivamente> e <preferencialmente>", "[Anexo II]", "Ir para o menu [2]", "f(x)", "Capítulo XX da lei"])
+@pytest.mark.parametrize("text", ["Nome ______ Inscrição ______", "A = {1, 2, 3}", "100% das vagas, 20% às cotas", "os termos <exclusivamente> e <preferencialmente>", "[Anexo II]", "Ir para o menu [2]", "das 12:30:45 às 13:00", "(x)", "CPF 123.XXX.XXX-45", "f(x)", "Capítulo XX da lei"])
 def test_no_placeholders(text):
-    assert not residue.placeholder_or_filler(text)
+    res = residue.Residue({})
+    assert not res.placeholder(text) and not res.filler(text)
 
 
 # --- linkage
