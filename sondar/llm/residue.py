@@ -350,6 +350,10 @@ def stems(text: str) -> list[str]:
     return [w[:STEM] for w in line_words(_FIGURE.sub("0", text)) if w.isalnum() or w == "0"]
 
 
+def _inner(text: str) -> list[str]:
+    return ["FIGURE" if t == "0" else t for t in stems(text)]
+
+
 def shapes(text: str) -> Iterator[list[str]]:
     """The terms of each bracketed or masked run of a text: its marks, and what stands between them.
 
@@ -364,11 +368,11 @@ def shapes(text: str) -> Iterator[list[str]]:
             for a, b in _CODE:
                 if run.startswith(a) and run.endswith(b) and len(run) >= len(a) + len(b):
                     inner = run[len(a) : len(run) - len(b)].strip()
-                    yield [f"{a} {b}", "NAME"] if _NAME.fullmatch(inner) else [f"{a} {b}", *stems(inner)]
+                    yield [f"{a} {b}", "NAME"] if _NAME.fullmatch(inner) else [f"{a} {b}", *_inner(inner)]
                     break
             else:
                 inner = run[1:-1]
-                ts = stems(inner)
+                ts = _inner(inner)
                 if ts:
                     yield [f"{run[0]} {run[-1]}", *(["CAPS"] if inner.isupper() else []), *ts]
     if "x" in text or "X" in text or "TODO" in text or "FIXME" in text:
