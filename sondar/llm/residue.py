@@ -310,7 +310,7 @@ STEM = 5
 FEW_LINES = 4
 
 _FIGURE = re.compile(r"\b(?=\w*\d)\w+\b")
-_TOKEN = re.compile(r"[a-zç]+")
+_TOKEN = re.compile(rb"[a-z\x80-\xff]+")
 _SENTENCE = re.compile(r"(?<=[.!?:;])\s+")
 _OTHER = re.compile(r"[^\x00-\x7e]+")
 #: Pairs of marks that a template engine writes around a name (fixed values).
@@ -322,24 +322,26 @@ _NAME = re.compile(r"[=\-#&/!*\s]*[^\W\d][\w.|:\- ]*|\d+")
 
 
 def _run_pattern() -> re.Pattern:
-    out = []
+    """One pattern for all runs; it begins with a class of characters, which a search passes over quickly."""
+    rest: dict[str, list[str]] = defaultdict(list)
     for a, b in _CODE + _SOFT:
-        shut = re.escape(b[0])
-        before, after = "", ""
+        shut, first = re.escape(b[0]), re.escape(a[0])
+        before, after = f"(?<={first})", ""
         if a in ("##", "@@"):
-            inner = rf"\s?[^\W\d]\w*\s?"
+            inner = r"\s?[^\W\d]\w*\s?"
         elif a == "__":
-            before, inner, after = r"(?<!\w)", r"[^\W\d_](?:\w*[^\W_])?", r"(?!\w)"
+            before, inner, after = rf"(?<=_)(?<!\w_)", r"[^\W\d_](?:\w*[^\W_])?", r"(?!\w)"
         elif a == "%":
-            before, inner, after = r"(?<![\w%])", r"[^\W\d_]+(?:_\w+)*", r"(?![\w%])"
+            before, inner, after = rf"(?<=%)(?<![\w%]%)", r"[^\W\d_]+(?:_\w+)*", r"(?![\w%])"
         elif a == ":":
-            before, inner, after = r"(?<![\w:/])", r"[^\W\d]\w*", r"(?![\w/])"
+            before, inner, after = rf"(?<=:)(?<![\w:/]:)", r"[^\W\d]\w*", r"(?![\w/])"
         elif a in ("{", "<", "[", "("):
             inner = r"[^\[\]<>(){}\n]+"
         else:
             inner = rf"[^{re.escape(a[-1])}{shut}\n]+"
-        out.append(before + re.escape(a) + inner + re.escape(b) + after)
-    return re.compile("|".join(out))
+        rest[a[0]].append(before + re.escape(a[1:]) + inner + re.escape(b) + after)
+    marks = "".join(re.escape(c) for c in rest)
+    return re.compile(f"[{marks}](?:" + "|".join("|".join(x) for x in rest.values()) + ")")
 
 
 _RUN = _run_pattern()
@@ -350,6 +352,24 @@ def stems(text: str) -> list[str]:
     return [w[:STEM] for w in line_words(_FIGURE.sub("0", text)) if w.isalnum() or w == "0"]
 
 
+_STEMS: dict[bytes, str] = {}
+
+
+def tokens(text: str) -> set[bytes]:
+    """The distinct words of a text, as bytes; beyond ASCII all bytes are alike."""
+    return set(_TOKEN.findall(text.lower().encode("utf-8", "surrogatepass")))
+
+
+def stem_of(token: bytes) -> str:
+    """The term of a token."""
+    got = _STEMS.get(token)
+    if got is None:
+        if len(_STEMS) > 500_000:
+            _STEMS.clear()
+        got = _STEMS[token] = _OTHER.sub("ç", token.decode("utf-8", "replace"))[:STEM]
+    return got
+
+
 def _inner(text: str) -> list[str]:
     return ["FIGURE" if t == "0" else t for t in stems(text)]
 
@@ -450,6 +470,8 @@ class Residue:
         ts = stems(text)
         if not ts or set(ts) == {"0"}:
             return 1.0, "blank"
+        if self.most(ts) < BARE:
+            return self.most(ts), "none"
         worst = (2.0, "")
         for a in range(0, max(1, len(ts) - WINDOW // 2), WINDOW // 2):
             worst = min(worst, self._window(ts[a : a + WINDOW], MESSAGES, True))
@@ -459,6 +481,17 @@ class Residue:
             self.memo[text] = worst
         return worst
 
+    def most(self, ts: list[str]) -> float:
+        """What containment in messages can reach at most: no term that no exemplar has is held."""
+        post = index()[1]
+        r = g = 0.0
+        for t in ts:
+            if t in post:
+                r += self.idf.get(t, UNSEEN)
+            else:
+                g += self.against(t, True)
+        return r / (r + g) if r else 0.0
+
     def weight(self, i: int) -> float:
         """An exemplar's whole weight."""
         if self._weights is None:
@@ -493,10 +526,12 @@ class Residue:
             if line.lstrip()[:3].lower() in begin and frozenset(stems(line)) in few:
                 return True
         rare = self.rare()
-        if rare.isdisjoint(w[:STEM] for w in _TOKEN.findall(_OTHER.sub("ç", text.lower()))):
+        if rare.isdisjoint(map(stem_of, tokens(text))):
             return False
         nonsense = _nonsense()
         for line in lines:
+            if len(rare.intersection(map(stem_of, tokens(line)))) < 2:
+                continue
             for part in dict.fromkeys((line, *_SENTENCE.split(line))):
                 ts = stems(part)
                 if len(rare.intersection(ts)) < 2:
@@ -560,12 +595,12 @@ def learn_weights(labelled: DataFrame, content: str) -> Residue:
                 n += 1
                 if not text:
                     continue
-                got.update(vocab.intersection(w[:STEM] for w in _TOKEN.findall(_OTHER.sub("ç", text.lower()))))
+                got.update(vocab.intersection(map(stem_of, tokens(text))))
                 got.update({t for ts in shapes(text) for t in ts if t in vocab and (" " in t or t.isupper())})
                 if roles and sum(roles) >= LONG:
                     long += 1
                     body = " ".join(t for (_, t), r in zip(content_lines(text), roles) if r == 1)
-                    for w in {w[:STEM] for w in _TOKEN.findall(_OTHER.sub("ç", body.lower()))}:
+                    for w in set(map(stem_of, tokens(body))):
                         k = at.get(w)
                         if k is None:
                             k = at[w] = bucket(w)
