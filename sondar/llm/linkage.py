@@ -2,9 +2,13 @@
 
 Rows are first reduced to profiles (equal normalised attributes), so repeated rows cost
 nothing. Profiles of both tables meet in blocks of rare shared attributes: number and
-year at places up to two letters apart, or the address of one announcement. An edge weighs what its profiles share, rare attributes more. The
-graph is pruned by meta-blocking (an edge far below the best of both its ends goes), and
-similarity then spreads along edges through common neighbours until no edge changes.
+year at places up to two letters apart, or the address of one announcement. An edge weighs
+what its profiles share, by how rare the shared values are among all profiles: a number and
+a place say most where their frequencies make a chance meeting unlikely. The graph is pruned
+by meta-blocking (an edge far below the best of both its ends goes). Then the neighbourhood
+decides, round by round, until no edge changes: a profile that names no kind or number takes
+those of its best neighbours, and its edges to others go; what is left supports the pairs at
+both ends of each path, which fade with its length.
 """
 
 from __future__ import annotations
@@ -39,7 +43,10 @@ _FIRST = ["consortium", "culture", "pension", "housing", "traffic", "guard", "wa
 _NUMBER = re.compile(r"(?<!\d)(\d{1,4})\s*(?:/|-|\.|,?\s+de\s|–|_)\s*(?:de\s+)?(\d{4}|\d{2})(?!\d)")
 _FUSED = re.compile(r"\b([Dd][aeo]s?)(?=[A-ZÀ-Ý])|\b([Dd])\s+([aeo]s?)(?=[A-ZÀ-Ý])")
 _NOT_BANCA = set("banca fundacao instituto associacao nucleo empresa de do da e concursos concurso consultoria selecoes selecao avaliacoes gestao publica provas exames integrada".split())
-ACCEPT, FADE, MOST_ROUNDS = 0.62, 0.97, 6
+#: Least score of a match; what a common neighbour leaves of it; scores closer than this are equal.
+ACCEPT, FADE, EPSILON = 0.62, 0.97, 1e-4
+#: A neighbour speaks for a missing value if its score comes so near the best one; numbers are often mistyped.
+NEAR = {"tipo": 0.02, "number": 0.15}
 
 
 def fold(s: str | None) -> str:
@@ -151,18 +158,86 @@ def _agrees(a: str, b: str):
     return ((k1 == k2) | (k1 == "") | (k2 == "")) & ((t1 == t2) | (t1 == "") | (t2 == "")) & same_number & (F.levenshtein(p1, p2) <= 2)
 
 
+def with_rarity(profiles: DataFrame) -> DataFrame:
+    """profiles with the rarity, 0 to 1, of their number with year, place and address among all profiles.
+
+    1 is a value that one profile has, 0 one that all have. Values are counted with partial
+    aggregation and joined back by value; missing values are not counted.
+    """
+    values = F.array(
+        F.struct(F.lit("n").alias("k"), F.when(F.col("num").isNotNull(), F.xxhash64(F.lit("n"), "num", "year")).alias("v")),
+        F.struct(F.lit("p").alias("k"), F.xxhash64(F.lit("p"), "place").alias("v")),
+        F.struct(F.lit("u").alias("k"), F.when(F.col("address") != "", F.xxhash64(F.lit("u"), "address")).alias("v")),
+    )
+    own = profiles.select("pid", F.explode(values).alias("x")).select("pid", "x.k", "x.v").where("v is not null")
+    total = F.log1p(F.lit(float(max(1, profiles.count()))))
+    counts = own.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    rare = own.join(counts, "v").withColumn("r", 1.0 - F.log(F.col("n").cast("double")) / total)
+    wide = rare.groupBy("pid").agg(*[F.coalesce(F.max(F.when(F.col("k") == k, F.col("r"))), F.lit(0.0)).alias(f"rare_{k}") for k in "npu"])
+    return profiles.join(wide, "pid")
+
+
 def _weight(a: str, b: str):
-    """What two profiles share: rare attributes (number with year, address) weigh most."""
+    """What two profiles share: rare attributes (number with year and place, address) weigh most.
+
+    Number and place count in full where both together are rarer than one in all profiles;
+    places that differ in spelling are as rare as the more frequent one.
+    """
     c = lambda x: (F.col(f"{a}.{x}"), F.col(f"{b}.{x}"))
-    (n1, n2), (u1, u2), (b1, b2), (t1, t2), (k1, k2), (p1, p2) = c("num"), c("address"), c("banca"), c("tipo"), c("kind"), c("place")
-    w = F.when(n1.isNotNull() & n2.isNotNull(), 0.62).otherwise(0.0)
-    w = w + F.when((u1 == u2) & (u1 != ""), F.when(n1.isNotNull() & n2.isNotNull(), 0.25).otherwise(0.58)).otherwise(0.0)
+    (n1, n2), (u1, u2), (b1, b2), (t1, t2), (k1, k2), (p1, p2), (r1, r2) = c("num"), c("address"), c("banca"), c("tipo"), c("kind"), c("place"), c("rare_p")
+    both = n1.isNotNull() & n2.isNotNull()
+    w = F.when(both, 0.54 + 0.08 * F.least(F.lit(1.0), F.col(f"{a}.rare_n") + F.least(r1, r2))).otherwise(0.0)
+    u = F.col(f"{a}.rare_u")
+    w = w + F.when((u1 == u2) & (u1 != ""), F.when(both, 0.21 + 0.04 * u).otherwise(0.5 + 0.08 * F.least(F.lit(1.0), u + F.least(r1, r2)))).otherwise(0.0)
     host = lambda u: F.split(F.regexp_extract(u, r"([^.#]+)\.[^.#]+(?:#|$)", 1), "#")
     w = w + F.when((F.size(b1) > 0) & (F.size(b2) > 0), F.when(F.arrays_overlap(F.array_union(b1, host(u1)), F.array_union(b2, host(u2))), 0.06).otherwise(-0.03)).otherwise(0.0)
     w = w + F.when((t1 == t2) & (t1 != ""), 0.05).otherwise(0.0) + F.when((k1 == k2) & (k1 != ""), 0.04).otherwise(-0.04)
     return w - 0.02 * F.levenshtein(p1, p2)
 
 
+def contradicted(edges: DataFrame, profiles: DataFrame) -> DataFrame:
+    """edges (i, j, s, i < j) without those that an end's best neighbours contradict.
+
+    Where a profile names no kind of announcement, or no number, only neighbours stay whose
+    value is also that of a neighbour within NEAR of its best; neighbours that name none stay.
+    """
+    said = profiles.select("pid", "tipo", F.coalesce(F.concat_ws("/", "num", "year"), F.lit("")).alias("number"))
+    out = edges.join(said.select(F.col("pid").alias("i"), F.struct("tipo", "number").alias("a")), "i").join(said.select(F.col("pid").alias("j"), F.struct("tipo", "number").alias("b")), "j")
+    bad = None
+    for field, near in NEAR.items():
+        for end, mine, theirs in (("i", "a", "b"), ("j", "b", "a")):
+            silent = out.where(F.col(f"{mine}.{field}") == "").select(F.col(end).alias("e"), F.col(f"{theirs}.{field}").alias("v"), "s", "i", "j")
+            bad = silent.withColumn("f", F.lit(field)).withColumn("near", F.lit(near)) if bad is None else bad.unionByName(silent.withColumn("f", F.lit(field)).withColumn("near", F.lit(near)))
+    top = F.max("s").over(W.partitionBy("e", "f"))
+    best = F.max("s").over(W.partitionBy("e", "f", "v"))
+    bad = bad.withColumn("top", top).withColumn("best", best).where((F.col("v") != "") & (F.col("best") < F.col("top") - F.col("near"))).select("i", "j").distinct()
+    return edges.join(bad, ["i", "j"], "left_anti")
+
+
+def settled(edges: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Scores (i, j, s) of all pairs, refined by their neighbourhoods until none changes by EPSILON.
+
+    A pair scores what it shares itself, or what the best path through common neighbours leaves:
+    the weaker end of two matches, faded. Paths only join profiles between which nothing speaks.
+    Rounds double the length of paths, and a path of n steps leaves at most FADE ** n, so
+    no more than log(ACCEPT) / log(FADE) steps matter: the rounds end without a limit on them.
+    """
+    p, q = profiles.alias("p"), profiles.alias("q")
+    known, seen = edges, None
+    while True:
+        good = contradicted(known.where(F.col("s") >= ACCEPT), profiles)
+        half = written(good.unionByName(good.select(F.col("j").alias("i"), F.col("i").alias("j"), "s")), "half")
+        now = half.agg(F.count(F.lit(1)), F.coalesce(F.sum("s"), F.lit(0.0)).alias("s")).first()
+        if seen is not None and now[0] == seen[0] and abs(now[1] - seen[1]) < EPSILON:
+            return half.where("i < j")
+        seen = now
+        u, v = half.alias("u"), half.alias("v")
+        via = u.join(v, (F.col("u.i") == F.col("v.i")) & (F.col("u.j") < F.col("v.j"))).select(F.col("u.j").alias("i"), F.col("v.j").alias("j"), (F.lit(FADE) * F.least("u.s", "v.s")).alias("s"))
+        via = via.groupBy("i", "j").agg(F.max("s").alias("s")).where(F.col("s") >= ACCEPT)
+        via = via.join(p, F.col("i") == F.col("p.pid")).join(q, F.col("j") == F.col("q.pid")).where(_agrees("p", "q")).select("i", "j", "s")
+        known = written(half.where("i < j").unionByName(via).groupBy("i", "j").agg(F.max("s").alias("s")), "known")
+
+
 def match_entities(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """(left_key, right_key, confidence) of every pair of rows that describe the same announcement.
 
@@ -174,7 +249,8 @@ def match_entities(left: DataFrame, right: DataFrame, left_key: str, right_key:
     a = profiled(left, left_key).select(F.lit(0).alias("side"), F.col(left_key).cast("string").alias("rid"), *attrs)
     b = profiled(right, right_key).select(F.lit(1).alias("side"), F.col(right_key).cast("string").alias("rid"), *attrs)
     rows = written(a.unionByName(b).withColumn("pid", F.xxhash64("place", "kind", F.coalesce("num", F.lit(-1)), F.coalesce("year", F.lit(-1)), "tipo", F.array_join("banca", " "), "address")), "rows")
-    profiles = written(rows.where("place != ''").groupBy("pid").agg(*[F.first(c).alias(c) for c in attrs], F.min("side").alias("lo"), F.max("side").alias("hi")), "profiles")
+    profiles = written(rows.where("place != ''").groupBy("pid").agg(*[F.first(c).alias(c) for c in attrs], F.min("side").alias("lo"), F.max("side").alias("hi")), "plain")
+    profiles = written(with_rarity(profiles), "profiles")
     # blocks: a key of the place with number and year, or with the address. No pair that agrees is further apart, so an
     # address that is everywhere is split like any other
     spelled = _spelled(profiles).join(profiles.select("pid", "num", "year", "address"), "pid")
@@ -190,31 +266,10 @@ def match_entities(left: DataFrame, right: DataFrame, left_key: str, right_key:
     both = edges.unionByName(edges.select(F.col("j").alias("i"), F.col("i").alias("j"), "s"))
     both = both.withColumn("best", F.max("s").over(W.partitionBy("i"))).where("s >= 0.6 * best")
     edges = written(both.select(F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "s").groupBy("i", "j").agg(F.max("s").alias("s")), "edges")
-    known, seen = edges, -1
-    for _ in range(MOST_ROUNDS):
-        good = known.where(F.col("s") >= ACCEPT)
-        half = written(good.unionByName(good.select(F.col("j").alias("i"), F.col("i").alias("j"), "s")), "half")
-        u, v = half.alias("u"), half.alias("v")
-        # through a common neighbour: two ends that share no block of their own
-        via = u.join(v, (F.col("u.i") == F.col("v.i")) & (F.col("u.j") < F.col("v.j"))).select(F.col("u.j").alias("i"), F.col("v.j").alias("j"), (F.lit(FADE) * F.least("u.s", "v.s")).alias("s"))
-        via = via.groupBy("i", "j").agg(F.max("s").alias("s")).where(F.col("s") >= ACCEPT)
-        via = via.join(p, F.col("i") == F.col("p.pid")).join(q, F.col("j") == F.col("q.pid")).where(_agrees("p", "q")).select("i", "j", "s")
-        known = written(known.unionByName(via).groupBy("i", "j").agg(F.max("s").alias("s")), "known")
-        now = known.where(F.col("s") >= ACCEPT).agg(F.count(F.lit(1)), F.sum(F.round("s", 4))).first()
-        if tuple(now) == seen:
-            break
-        seen = tuple(now)
+    good = settled(edges, profiles)
     # a profile agrees with itself if its attributes say enough
     own = profiles.where("lo != hi").select(F.col("pid").alias("i"), F.col("pid").alias("j"), F.when(F.col("num").isNotNull(), 0.95).when(F.col("address") != "", 0.85).otherwise(0.3).alias("s"))
-    good = known.unionByName(own).where(F.col("s") >= ACCEPT)
-    good = good.unionByName(good.where("i != j").select(F.col("j").alias("i"), F.col("i").alias("j"), "s"))
-    # where one end names no kind, the kind of its best partners decides between kinds
-    kinds = profiles.select("pid", "tipo")
-    good = good.join(kinds.select(F.col("pid").alias("i"), F.col("tipo").alias("ti")), "i").join(kinds.select(F.col("pid").alias("j"), F.col("tipo").alias("tj")), "j")
-    for end, mine, theirs in (("i", "ti", "tj"), ("j", "tj", "ti")):
-        top = F.max("s").over(W.partitionBy(end))
-        good = good.withColumn("kt", F.max(F.when(F.col(theirs) != "", F.col("s"))).over(W.partitionBy(end, theirs))).withColumn("top", top)
-        good = good.where((F.col(mine) != "") | (F.col(theirs) == "") | (F.col("kt") >= F.col("top") - 0.02)).drop("kt", "top")
+    good = good.unionByName(good.select(F.col("j").alias("i"), F.col("i").alias("j"), "s")).unionByName(own.where(F.col("s") >= ACCEPT))
     l, r = rows.where("side = 0").select(F.col("rid").alias("lid"), F.col("pid").alias("i")), rows.where("side = 1").select(F.col("rid").alias("rid"), F.col("pid").alias("j"))
     out = good.select("i", "j", "s").join(l, "i").join(r, "j")
     return out.groupBy(F.col("lid").cast(left.schema[left_key].dataType).alias(left_key), F.col("rid").cast(right.schema[right_key].dataType).alias(right_key)).agg(F.round(F.least(F.max("s"), F.lit(1.0)), 4).alias("confidence"))

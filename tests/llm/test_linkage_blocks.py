@@ -40,3 +40,21 @@ def test_an_address_that_is_everywhere_gives_the_same_pairs(spark):
     crowd = [(1000 + i, "Prefeitura de " + chr(97 + i % 26) * 9 + chr(97 + i // 26) * 9, None, None, url, "concurso_publico") for i in range(420)]
     assert few == {(1, 10), (2, 20), (1, 30)}
     assert {x for x in _pairs(spark, a, b + crowd) if x[1] < 1000} == few
+
+
+def test_neighbours_find_a_pair_and_reject_one(spark):
+    """2 and 20 share no block of their own, only neighbours; 3 names no kind, and its best neighbour is a contest."""
+    u, v = "https://q.example/concurso/5", "https://q.example/concurso/6"
+    a = [(2, "Câmara de Ibá", "4/2020", None, None, "concurso_publico"), (3, "Prefeitura de Jacipoema", "9/2021", "Velmara", v, None)]
+    b = [(19, "Câmara de Ibá", "4/2020", None, u, "concurso_publico"), (20, "Câmara de Ibá", None, None, u, "concurso_publico")]
+    b += [(30, "Prefeitura de Jacipoema", "9/2021", "Velmara", v, "concurso_publico"), (31, "Prefeitura de Jacipoema", "9/2021", "Outra", None, "processo_seletivo")]
+    assert _pairs(spark, a, b) == {(2, 19), (2, 20), (3, 30)}
+    assert (2, 20) not in _pairs(spark, a, [x for x in b if x[0] != 19])
+    assert (3, 31) in _pairs(spark, a, [x for x in b if x[0] != 30])
+
+
+def test_rare_values_weigh_more(spark):
+    rows = [(i, f"lugar{i % 3}", "", i % 7, 2020, "", [], "u1" if i else "u2") for i in range(60)]
+    p = spark.createDataFrame(rows, "pid long, place string, kind string, num int, year int, tipo string, banca array<string>, address string")
+    r = {x.pid: x for x in linkage.with_rarity(p).collect()}
+    assert len(r) == 60 and r[0].rare_u > 0.8 > 0.1 > r[1].rare_u and r[1].rare_n > r[1].rare_p
