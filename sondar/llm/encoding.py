@@ -9,18 +9,22 @@ from the neighbours it was seen between. The learned mapping is applied with
 ``str.translate`` and kept where it makes the text clearly likelier.
 
 A source is one unknown swap of code pages, pooled over all rows it explains best. Code-page
-tables only name the symbols a source can have and serve as a weak prior; what a symbol
-means is decided by the language.
+tables start the mapping of common swaps. Rows whose symbols no such table makes likely text
+of belong to sources without a table, one for each script and length of symbol that their
+strange characters show: what those mean is learned from the language alone, each letter for
+one symbol.
 """
 
 from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
@@ -36,12 +40,58 @@ WRITTEN_AS = ("utf-8", "cp1252", "cp850", "mac_roman", "cp437")
 READ_AS = ("latin-1", "cp1252", "cp1250", "cp1251", "cp1253", "cp1254", "cp1257", "cp437", "cp850", "cp852", "cp866", "iso8859-2", "iso8859-5", "iso8859-7", "iso8859-9", "iso8859-15", "koi8-r", "mac_roman", "mac_latin2", "mac_cyrillic")
 UNLIKELY = math.log(0.004)
 FLOOR, COST, GAIN, PRIOR, ROUNDS = math.log(1e-5), 3.0, 5.0, 25.0, 8
+#: A table fits a row if it makes so large a share of its symbols likely; a row has an unknown source from so many strange symbols on.
+FIT, MIXED = 0.7, 3
 ORDINARY = LETTERS + "ºª°§–—“”‘’…©«»¿¡•€"
-#: A row is looked at closely if it has a character that isn't ordinary, a capital or
-#: sign where none belongs, or a question mark inside a word.
-SUSPECT = (
-    rf"[^\x00-\x7E{ORDINARY}]|[\x01-\x08\x0B\x0C\x0E-\x1F]|[ÃÂ][ªº°§©«»¡¿•–—“”‘’…€]|[a-zà-ÿ][À-Ý]|[ÃÂ][ÃÂ]|[A-Za-zÀ-ÿ]\?+[A-Za-zÀ-ÿ]|\?[a-zA-Z]|[A-Za-z]\?+ [a-z0-9]|(?m)^\? |\s\?\s"
-)
+_PAIRS = np.zeros(1 << 16, bool)
+_TRIPLES = np.zeros(1 << 16, bool)
+for _c in ORDINARY:
+    _u = _c.encode()
+    if len(_u) == 2:
+        _PAIRS[_u[0] << 8 | _u[1]] = True
+    elif _u[0] == 0xE2:
+        _TRIPLES[_u[1] << 8 | _u[2]] = True
+
+
+def suspicious(texts: pa.Array) -> np.ndarray:
+    """Whether each text is looked at closely, from the bytes of all of them at once.
+
+    It is if it has a character that isn't ordinary, a capital or sign where none belongs, or a
+    question mark inside a word or where none belongs. Texts are told apart by line feeds.
+    """
+    out = np.zeros(len(texts), bool)
+    for at in range(0, len(texts), 512):
+        part = texts.slice(at, 512).cast(pa.large_string())
+        n = len(part)
+        off = np.frombuffer(part.buffers()[1], np.int64)[part.offset : part.offset + n + 1]
+        raw = np.frombuffer(part.buffers()[2], np.uint8)[off[0] : off[-1]] if part.buffers()[2] else np.zeros(0, np.uint8)
+        ends = off[1:] - off[0]
+        d = np.concatenate(([10], np.insert(raw, ends, 10), [10, 10, 10])).astype(np.uint16)
+        c, p, x, y = d[1:-2], d[:-3], d[2:-1], d[3:]
+        low = (c >= 97) & (c <= 122)
+        alpha = lambda v: ((v | 32) >= 97) & ((v | 32) <= 122) & (v < 128)
+        blank = lambda v: (v == 32) | ((v >= 9) & (v <= 13))
+        bad = ((c < 32) & (c != 9) & (c != 10) & (c != 13)) | (c == 127) | (c >= 0xE3) | ((c >= 0xC4) & (c < 0xE2))
+        two = (c == 0xC2) | (c == 0xC3)
+        bad |= two & ~_PAIRS[np.minimum(c << 8 | x, 65535)]
+        bad |= (c == 0xE2) & ~_TRIPLES[np.minimum((x & 255) << 8 | y, 65535)]
+        cap = (c == 0xC3) & ((x == 0x82) | (x == 0x83))
+        bad |= cap & ((y == 0xC2) | (y == 0xE2))
+        again = np.concatenate((cap[2:], [False, False]))
+        bad |= cap & again
+        upper = np.concatenate(((c == 0xC3) & (x >= 0x80) & (x <= 0x9D), [False]))[1:]
+        bad |= (low | ((p == 0xC3) & (c >= 0xA0) & (c <= 0xBF))) & upper
+        q = c == 63
+        if q.any():
+            bad |= q & (alpha(x) | (x >= 0x80))
+            bad |= q & (x == 32) & (((y >= 97) & (y <= 122)) | ((y >= 48) & (y <= 57))) & (alpha(p) | (p == 63))
+            bad |= q & blank(p) & blank(x)
+        hits = np.concatenate(([0], np.cumsum(bad)))
+        stop = np.minimum(ends + np.arange(1, n + 1), len(bad))
+        out[at : at + n] = hits[stop] > hits[np.concatenate(([0], stop[:-1]))]
+    return out
+
+
 _RUN = re.compile(r"[^\x00-\x7e]+")
 
 
@@ -158,6 +208,46 @@ def _native(text: str, a: int, b: int) -> bool:
     return len(s) >= 3 and not (left.isalpha() or right.isalpha()) and all(ord(c) > 0x24F or not c.isalpha() for c in s)
 
 
+def _units(family: str) -> re.Pattern:
+    return _pattern_of().get(family) or (_TWO if family.endswith("2") else _ONE)
+
+
+_ONE, _TWO = re.compile(r"[^\x00-\x7e]"), re.compile(r"[^\x00-\x7e]{1,2}")
+
+
+@lru_cache(maxsize=4096)
+def _script(c: str) -> str:
+    return unicodedata.name(c, "NONE").split()[0]
+
+
+def unknown_source(text: str, lang: Language) -> str | None:
+    """A source without a table: the script of most strange characters, and 1 or 2 for the characters of a symbol.
+
+    Only characters in or at words of ASCII letters count; None: there are too few.
+    """
+    seen: Counter = Counter()
+    even = runs = 0
+    for run in _RUN.finditer(text):
+        a, b = run.span()
+        if _native(text, a, b) or not (text[a - 1 : a].isalpha() or text[b : b + 1].isalpha()):
+            continue
+        strange = [c for c in run.group() if c not in ORDINARY and c != "\ufffd" and not c.isspace()]
+        if strange:
+            runs += 1
+            even += (b - a) % 2 == 0
+            seen.update(_script(c) for c in strange)
+    if sum(seen.values()) < MIXED:
+        return None
+    return f"?{max(seen, key=lambda k: (seen[k], k))} {2 if even >= 0.7 * runs else 1}"
+
+
+def fits(units: list[tuple[int, int, str, str, str]], table: dict[str, str], lang: Language) -> float:
+    """The share of a row's symbols that the table turns into letters which are likely where they stand."""
+    if not units:
+        return 0.0
+    return sum(u[2] in table and lang.log_p(u[3], table[u[2]], u[4]) >= UNLIKELY for u in units) / len(units)
+
+
 def explain(text: str, family: str, table: dict[str, str], lang: Language) -> tuple[float, list[tuple[int, int, str, str, str]]]:
     """(gain, units): how much likelier the text becomes, and the symbols (begin, end, symbol, before, after)."""
     gain, units = 0.0, []
@@ -166,8 +256,8 @@ def explain(text: str, family: str, table: dict[str, str], lang: Language) -> tu
         a, b = run.span()
         if _native(text, a, b):
             continue
-        for m in _pattern_of()[family].finditer(text, a, b) if family in _pattern_of() else re.finditer(r"[^\x00-\x7e]", text[a:b]):
-            i, j = (m.start(), m.end()) if family in _pattern_of() else (a + m.start(), a + m.end())
+        for m in _units(family).finditer(text, a, b):
+            i, j = m.span()
             sym = text[i:j]
             p, q = _side(text[i - 1] if i else " "), _side(text[j] if j < n else " ")
             p, q = (p if i > a else p), (q if j < b else q)
@@ -232,15 +322,32 @@ def lost(text: str) -> bool:
 
 
 def best_source(text: str, tables: dict[str, dict[str, str]], lang: Language) -> tuple[str | None, float]:
-    """The source that makes the text likeliest, over the cost of assuming one; None: as it is."""
-    top, gain = None, 0.0
+    """The source that makes the text likeliest, over the cost of assuming one; None: as it is.
+
+    A learned source without a table is taken where it makes more of the symbols likely than
+    the best known one does.
+    """
+    top, gain, share = None, 0.0, 0.0
     for f in candidates(text, lang):
-        g, _ = explain(text, f, tables.get(f, families()[f]), lang)
+        table = tables.get(f, families()[f])
+        g, units = explain(text, f, table, lang)
         if g > gain + 1e-9:
-            top, gain = f, g
+            top, gain, share = f, g, fits(units, table, lang)
+    if tables and (f := unknown_source(text, lang)) in tables:
+        g, units = explain(text, f, tables[f], lang)
+        if g - COST >= GAIN and g >= gain and fits(units, tables[f], lang) > max(share, 0.5):
+            return f, g - COST
     return (top, gain - COST) if top and gain - COST >= GAIN else (None, gain - COST)
 
 
+def source_of(text: str, lang: Language) -> str | None:
+    """The source whose mapping the row helps to learn: a known one that fits it, or one without a table."""
+    f, _ = best_source(text, {}, lang)
+    if f is not None and fits(explain(text, f, families()[f], lang)[1], families()[f], lang) >= FIT:
+        return f
+    return unknown_source(text, lang) or f
+
+
 def restored(text: str, table: dict[str, str], family: str, lang: Language) -> str:
     """The text with the source's symbols translated wherever that is likelier."""
     gain, units = explain(text, family, table, lang)
@@ -255,6 +362,38 @@ def restored(text: str, table: dict[str, str], family: str, lang: Language) -> s
     return "".join(out).translate(back)
 
 
+def decipher(symbols: dict[str, list[tuple[str, str, int]]], lang: Language, letters: list[str]) -> dict[str, str]:
+    """EM without a table: symbol -> letter, from the language alone; each letter for one symbol.
+
+    Every symbol starts as any letter by the language's frequencies. The expected letters
+    of its sightings give its new shares; a letter that another symbol claims counts less.
+    """
+    names = sorted(symbols, key=lambda s: (-sum(c for _, _, c in symbols[s]), s))
+    base = np.array([lang.single[x] + 1.0 for x in letters])
+    p = [np.array([[lang.log_p(a, x, b) for x in letters] for a, b, _ in symbols[s]]) for s in names]
+    n = [np.array([c for _, _, c in symbols[s]], float) for s in names]
+    total = np.array([x.sum() for x in n])
+    share = np.tile(base / base.sum(), (len(names), 1))
+    for _ in range(4 * ROUNDS):
+        got = np.empty_like(share)
+        for k in range(len(names)):
+            w = np.exp(p[k]) * share[k]
+            got[k] = (n[k][:, None] * w / np.maximum(w.sum(1, keepdims=True), 1e-300)).sum(0) + 1e-6
+        # a cipher is one to one: a symbol's claim on a letter is weighed against all others'
+        claim = got / got.sum(0, keepdims=True)
+        share = got * claim
+        share /= share.sum(1, keepdims=True)
+    out, used = {}, set()
+    score = np.array([(n[k][:, None] * p[k]).sum(0) for k in range(len(names))])
+    for k in sorted(range(len(names)), key=lambda k: -total[k]):
+        for x in np.argsort(-(np.log(share[k] + 1e-12) + score[k] / max(1.0, total[k]))):
+            if letters[x] not in used:
+                used.add(letters[x])
+                out[names[k]] = letters[x]
+                break
+    return out
+
+
 def learn(contexts: dict[tuple[str, str, str, str], int], lang: Language) -> dict[str, dict[str, str]]:
     """EM for each source: symbol -> letter. contexts: (source, symbol, before, after) -> count."""
     by: dict[str, dict[str, list[tuple[str, str, int]]]] = defaultdict(lambda: defaultdict(list))
@@ -263,6 +402,9 @@ def learn(contexts: dict[tuple[str, str, str, str], int], lang: Language) -> dic
     letters = [x for x in LETTERS + SIGNS if lang.single[x]] or list(LETTERS)
     out = {}
     for f, symbols in by.items():
+        if f.startswith("?"):
+            out[f] = decipher(symbols, lang, letters)
+            continue
         prior = families().get(f, {})
         share = {s: {x: 1.0 / len(letters) for x in letters} for s in symbols}
         for s in symbols:
@@ -303,7 +445,7 @@ def survey(df: DataFrame, key: str, text: str) -> tuple[Language, DataFrame]:
         kind = None
         for b in batches:
             kind = b.schema.field(0).type
-            odd = b.column(2)
+            odd = pa.array(suspicious(b.column(1)))
             for t in b.column(1).filter(pc.invert(odd)).to_pylist():
                 language_counts(t, got)
             rows = b.filter(odd)
@@ -312,7 +454,7 @@ def survey(df: DataFrame, key: str, text: str) -> tuple[Language, DataFrame]:
         if got:
             yield pa.RecordBatch.from_arrays([pa.nulls(len(got), kind), pa.nulls(len(got), pa.string()), pa.array(list(got), pa.string()), pa.array(list(got.values()), pa.int64())], names=names)
 
-    rows = df.where(F.col(text).isNotNull()).select(key, text, F.col(text).rlike(SUSPECT).alias("__odd"))
+    rows = df.where(F.col(text).isNotNull()).select(key, text)
     both = written(rows.mapInArrow(run, f"__key {df.schema[key].dataType.simpleString()}, __text string, __k string, __n bigint"), "survey")
     counts = both.where("__k is not null").groupBy(F.col("__k").alias("k")).agg(F.sum("__n").alias("n")).toArrow()
     return Language(dict(zip(counts.column("k").to_pylist(), counts.column("n").to_pylist()))), both.where("__k is null").select(F.col("__key").alias(key), F.col("__text").alias(text))
@@ -325,10 +467,10 @@ def learn_sources(suspects: DataFrame, text: str, lang: Language) -> dict[str, d
         got: Counter = Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
-                f, _ = best_source(t, {}, lang)
+                f = source_of(t, lang)
                 if f is None:
                     continue
-                for _, _, s, p, n in explain(t, f, families()[f], lang)[1]:
+                for _, _, s, p, n in explain(t, f, families().get(f, {}), lang)[1]:
                     got[f, s, p, n] += 1
         cols = list(zip(*got)) if got else [(), (), (), ()]
         yield pa.RecordBatch.from_arrays([*(pa.array(c, pa.string()) for c in cols), pa.array(list(got.values()), pa.int64())], names=["f", "s", "p", "n", "c"])
@@ -364,7 +506,7 @@ def find_garbled(df: DataFrame, key: str, text: str, restore: bool = True) -> Da
                 fam.append(f)
                 gains.append(round(max(g, 0.0), 3))
                 gone.append(away)
-                back.append(restored(t, tables.get(f, families()[f]), f, lang) if f and restore else None)
+                back.append(restored(t, tables[f] if f in tables else families()[f], f, lang) if f and restore else None)
             yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(keep, pa.int64())), pa.array(fam, pa.string()), pa.array(gains, pa.float64()), pa.array(gone, pa.bool_()), pa.array(back, pa.string())], names=[key, "source", "gain", "lost", "restored"])
 
     return suspects.mapInArrow(run, f"`{key}` {df.schema[key].dataType.simpleString()}, source string, gain double, lost boolean, restored string")

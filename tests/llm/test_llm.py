@@ -128,6 +128,43 @@ def test_garbled_text_is_found_and_restored(spark):
     assert encoding.find_garbled(df.limit(0), "k", "t").count() == 0
 
 
+@pytest.mark.parametrize("a, b", [("cp1252", "cp855"), ("utf-8", "mac_greek"), ("utf-8", "cp855")])
+def test_swaps_without_a_table_are_learned_from_the_language(spark, a, b):
+    """No table lists these swaps: what their symbols mean is known from the language alone."""
+    assert f"{a}>{b}" not in encoding.families()
+    df = spark.read.parquet("/root/testdata/sf0.01/fetched_evidence.parquet").where("content != ''").select("evidence_id", "content")
+    rows = df.orderBy("evidence_id").toArrow()
+    odd = encoding.suspicious(rows.column("content").combine_chunks())
+    clean = [(k, t) for k, t, o in zip(rows.column("evidence_id").to_pylist(), rows.column("content").to_pylist(), odd) if not o]
+    bad = {}
+    for k, t in clean:
+        try:
+            g = t.encode(a).decode(b)
+        except UnicodeError:
+            continue
+        if g != t and len(bad) < 100:
+            bad[k] = (t, g)
+    mixed = spark.createDataFrame([(k, bad[k][1] if k in bad else t) for k, t in clean], "k long, t string")
+    got = {x.k: x.restored for x in encoding.find_garbled(mixed, "k", "t").collect()}
+    assert len(set(got) & set(bad)) >= 97 and len(set(got) - set(bad)) <= 2
+    assert sum(got.get(k) == t for k, (t, _) in bad.items()) >= 90
+
+
+def test_suspicious_bytes_against_plain_patterns():
+    import re
+
+    plain = re.compile(
+        rf"[^\x00-\x7E{encoding.ORDINARY}]|[\x01-\x08\x0B\x0C\x0E-\x1F\x7F]|[ÃÂ][ªº°§©«»¡¿•–—“”‘’…€]|[a-zà-ÿ][À-Ý]|[ÃÂ][ÃÂ]|[A-Za-zÀ-ÿ]\?+[A-Za-zÀ-ÿ]|\?[a-zA-Z]|[A-Za-z]\?+ [a-z0-9]|(?m:^)\? |\s\?\s"
+    )
+    r = random.Random(11)
+    texts = ["".join(r.choice("ab? ?\nZé ãÃÂº°“€øΩ1.\t\x07") for _ in range(r.randint(0, 9))) for _ in range(3000)] + ["", "é", "a"]
+    import pyarrow as pa
+
+    got = encoding.suspicious(pa.array(texts))
+    assert all(g for t, g in zip(texts, got) if plain.search(t))
+    assert not encoding.suspicious(pa.array(["As inscrições vão até amanhã.\tFim", "O que você procura?", "nº 3, 2ª fase – “sim”", ""])).any()
+
+
 # --- pages
 
 
