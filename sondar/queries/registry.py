@@ -1,4 +1,4 @@
-"""All queries. The llm subpackage takes part only if it can be imported."""
+"""Registered queries of the library. Other modules of queries are handed in by whoever has them."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import importlib
 from sondar.plans.ship import ship
 
 
-def _modules() -> list:
+def _modules(more: tuple = ()) -> list:
     names = ["sondar.queries.general", "sondar.queries.engine"]
     found = []
     for n in names:
@@ -17,12 +17,7 @@ def _modules() -> list:
         except ModuleNotFoundError as e:
             if e.name != n:
                 raise
-    try:
-        found.append(importlib.import_module("sondar.llm.queries"))
-    except ModuleNotFoundError as e:
-        if not (e.name or "").startswith("sondar.llm"):
-            raise
-    return found
+    return [*found, *more]
 
 
 def _shipped(f):
@@ -34,9 +29,9 @@ def _shipped(f):
     return run
 
 
-def queries() -> dict:
-    return {k: _shipped(f) for m in _modules() for k, f in m.QUERIES.items()}
+def queries(more: tuple = ()) -> dict:
+    return {k: _shipped(f) for m in _modules(more) for k, f in m.QUERIES.items()}
 
 
-def oracles() -> dict:
-    return {k: f for m in _modules() for k, f in m.ORACLES.items()}
+def oracles(more: tuple = ()) -> dict:
+    return {k: f for m in _modules(more) for k, f in m.ORACLES.items()}
