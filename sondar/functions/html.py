@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 ENTITIES = (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
-ANCHOR = r'<a [^>]*href="([^"]*)"[^>]*>([^<]*)</a>'
+ANCHOR = r"""(?is)<a\s[^>]*href=["']([^"']+)["'][^>]*>(.*?)</a>"""
 
 
 def unescape(c: Column) -> Column:
@@ -33,10 +33,23 @@ def text(c: Column) -> Column:
 def anchors(c: Column) -> Column:
     """Array of (href, label), in order, repeated ones kept."""
     href, label = F.regexp_extract_all(c, F.lit(ANCHOR), 1), F.regexp_extract_all(c, F.lit(ANCHOR), 2)
-    return F.zip_with(href, label, lambda h, l: F.struct(h.alias("href"), F.trim(unescape(l)).alias("label")))
+    clean = lambda l: F.trim(F.regexp_replace(unescape(F.regexp_replace(l, "<[^>]+>", "")), r"\s+", " "))
+    return F.zip_with(href, label, lambda h, l: F.struct(h.alias("href"), clean(l).alias("label")))
 
 
 def absolute(href: Column, base: Column) -> Column:
     """href against the page's host; absolute ones stay, others than http and paths are null."""
     host = F.regexp_extract(base, r"^(https?://[^/?#]+)", 1)
     return F.when(href.rlike("^https?://"), href).when(href.startswith("/"), F.concat(host, href))
+
+
+def headings(c: Column) -> Column:
+    """Texts of the h1 to h4 elements, in order, tags off, of 6 to 180 characters."""
+    raw = F.regexp_extract_all(c, F.lit(r"(?is)<h[1-4]\b[^>]*>(.*?)</h[1-4]>"), 1)
+    clean = F.transform(raw, lambda h: F.trim(F.regexp_replace(unescape(F.regexp_replace(h, "<[^>]+>", " ")), r"\s+", " ")))
+    return F.filter(clean, lambda h: F.length(h).between(6, 180))
+
+
+def bare_urls(c: Column) -> Column:
+    """Distinct addresses anywhere in the source, in quotes or bare, in order, without trailing punctuation."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(c, F.lit(r"""https?://[^\s"'<>)]+"""), 0), lambda u: F.regexp_replace(u, r"[.,;]+$", "")))

@@ -8,15 +8,24 @@ from pyspark.sql import functions as F
 from sondar.functions import text as T
 from sondar.functions import urls as U
 
-NOT_FOUND = ("pagina nao encontrada", "nao encontrada", "page not found", "not found", "erro 404", "no existe", "nao existe ou foi removida")
-PARKED = ("em construcao", "dominio suspenso", "conta suspensa", "under construction", "site em manutencao", "hospedagem esta suspensa")
-CHALLENGE = ("checking your browser", "conferindo o seu navegador", "verificando se a conexao", "cloudflare", "captcha", "confirme que voce e uma pessoa")
-SERVER_ERROR = ("erro inesperado", "internal server error", "bad gateway", "service unavailable", "sqlstate", "fatal error", "stack trace")
-WALL = ("faca login", "sessao expirada", "aceite os cookies", "acesso restrito")
+#: Fixed values, each list that of one predicate.
+SOFT_404 = ("pagina nao encontrada", "nao encontramos", "erro 404", "error 404", "not found", "pagina inexistente", "conteudo nao encontrado")
+NOT_FOUND = ("pagina nao encontrada", "page not found", "404 not found", "erro 404", "conteudo nao encontrado")
+PARKED = ("em construcao", "site em construcao", "pagina em construcao", "em manutencao", "site em manutencao", "hospedagem de site", "dominio gratis", "registre seu dominio", "compre este dominio", "domain for sale", "this domain is for sale")
+CHALLENGE = ("security checkpoint", "vercel security", "just a moment", "checking your browser", "attention required", "cloudflare", "verifying you are human", "enable javascript and cookies")
+AUDIT_CHALLENGE = ("um momento", "just a moment", "verificacao de seguranca", "verificando seguranca", "checking your browser", "cf browser verification", "attention required", "enable javascript and cookies to continue", "ddos guard", "needs to review the security")
+HARD_MARKS = ("challenge-platform", "/cdn-cgi/challenge", "_cf_chl_opt", "cf_chl_", "ddos-guard")
+CHALLENGE_TITLES = ("one moment, please", "just a moment", "checking your browser", "attention required")
+SERVER_ERROR = ("server error in", "runtime error", "application error", "erro de execucao", "internal server error", "http error 500", "service unavailable", "error 503", "nao foi possivel conectar-se ao banco", "could not connect", "error establishing a database", "whoops, something went wrong", "exception details")
+WALL = ("usa cookies", "utiliza cookies", "aceitar cookies", "aceite os cookies", "faca seu login", "habilite o javascript", "enable javascript", "ative o javascript", "ativar o javascript")
+BLOCKED = ("wordfence", "acesso a este site foi limitado", "maximum number of page requests", "page requests per minute")
+DEFINED = ("e um processo seletivo", "e o procedimento", "tem por objetivo selecionar", "destina se a selecionar", "e uma forma de")
 NO_EVENTS = ("nenhum registro encontrado", "nao ha certames", "sem editais publicados", "nenhum resultado")
-FRAMEWORK = ("/js/app.js", "ng-app", "__next", "data-reactroot")
-LANDING = ("", "home", "index", "inicio", "portal", "web")
-FILES = ("pdf", "doc", "docx", "zip", "xls")
+FRAMEWORK = ("__next_data__", "/_next/", "window.__nuxt__", "data-reactroot", 'id="__nuxt"')
+LANDING = ("", "web", "home", "inicio", "index.php", "index.html", "portal", "site")
+FILES = ("pdf", "doc", "docx", "xls", "xlsx")
+#: Concrete entries of a listing (fixed patterns).
+ENTRY = (r"(?<![0-9.])[0-9]{1,3}\s*[/\-]\s*20[12][0-9]\b", r"(?i)edital\s+n|inscri[cç][oõ]es\s+(aberta|encerrada)|resultado\s+(final|parcial|preliminar)|homologa[cç][aã]o|retifica[cç][aã]o", r"(?i)(concurso|processo\s+seletivo|sele[çc]\w+\s+p\w+)[^\n]{0,15}?\b20[12][0-9]\b")
 KEYWORDS = ("concurso", "seletivo", "selecoes", "edital", "pss")
 
 
@@ -30,34 +39,62 @@ def head(c: Column, n: int) -> Column:
     return T.fold(F.substring(F.coalesce(c, F.lit("")), 1, n))
 
 
-def soft404(status: Column, title: Column, content: Column) -> Column:
-    return ~ok(status) | T.contains_any(T.fold(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.substring(F.coalesce(content, F.lit("")), 1, 500))), NOT_FOUND)
+def soft404(status: Column, folded: Column) -> Column:
+    """Not ok, or a phrase in the folded title and first 500 characters."""
+    return ~ok(status) | T.contains_any(folded, SOFT_404)
 
 
-def parked(content: Column) -> Column:
-    return T.contains_any(head(content, 800), PARKED)
+def title_and_head(title: Column, content: Column, n: int) -> Column:
+    """fold of the title and the first n characters."""
+    return T.fold(F.concat_ws(" ", F.coalesce(title, F.lit("")), F.substring(F.coalesce(content, F.lit("")), 1, n)))
 
 
-def challenged(title: Column, content: Column) -> Column:
-    """A challenge named in a title or in a body of under 1500 characters."""
-    return T.contains_any(T.fold(F.coalesce(title, F.lit(""))), CHALLENGE) | (T.contains_any(head(content, 1500), CHALLENGE) & (F.length(F.coalesce(content, F.lit(""))) < 1500))
+def challenged(title: Column, content: Column, html: Column) -> Column:
+    """A checkpoint's signature anywhere in title, text or source."""
+    out = F.lit(False)
+    for c in (title, content, html):
+        out = out | T.contains_any(F.lower(c), CHALLENGE)
+    return out
 
 
-def server_error(content: Column) -> Column:
-    return T.contains_any(head(content, 600), SERVER_ERROR)
+def guarded(title: Column, content: Column, html: Column) -> Column:
+    """A checkpoint's mark in the source, or its title over a text of under 1500 characters."""
+    thin = F.length(F.coalesce(content, F.lit(""))) < 1500
+    return T.contains_any(F.lower(F.substring(html, 1, 200000)), HARD_MARKS) | (T.contains_any(F.lower(title), CHALLENGE_TITLES) & thin)
 
 
-def walled(content: Column) -> Column:
-    return (F.length(F.coalesce(content, F.lit(""))) <= 2500) & T.contains_any(head(content, 2500), WALL)
+def walled(content: Column, folded: Column, items: Column) -> Column:
+    """A text of at most 2500 characters and fewer than two items that asks for cookies, a login or scripts."""
+    return (F.length(F.coalesce(content, F.lit(""))) <= 2500) & (items < 2) & T.contains_any(folded, WALL)
+
+
+def blocked(status: Column, html: Column) -> Column:
+    """A status of too many requests or overload, or a blocker's phrase in the first 5000 characters of the source."""
+    return F.coalesce(status.isin(429, 503), F.lit(False)) | T.contains_any(T.fold(F.substring(html, 1, 5000)), BLOCKED)
+
+
+def has_entry(content: Column) -> Column:
+    """Whether a text has at least one concrete entry of a listing."""
+    c, out = F.coalesce(content, F.lit("")), F.lit(False)
+    for p in ENTRY:
+        out = out | c.rlike(p)
+    return out
+
+
+def thin_shell(status: Column, content: Column, html: Column) -> Column:
+    """A page that is ok, of at least 2000 characters of source with a script of its own, and under 500 of text."""
+    long, short = F.length(F.coalesce(html, F.lit(""))) >= 2000, F.length(F.trim(F.coalesce(content, F.lit("")))) < 500
+    return ok(status) & long & short & F.coalesce(html.rlike(r"(?i)<script[^>]+\bsrc\s*="), F.lit(False))
 
 
 def app_shell(html: Column, links: Column) -> Column:
-    """A framework's mark in the source and fewer than eight links."""
-    return T.contains_any(F.substring(F.coalesce(html, F.lit("")), 1, 200000), FRAMEWORK) & (links < 8)
+    """A framework's mark in the source and fewer than eight links with a scheme."""
+    return T.contains_any(F.lower(F.substring(F.coalesce(html, F.lit("")), 1, 200000)), FRAMEWORK) & (links < 8)
 
 
 def no_events(content: Column) -> Column:
-    return T.contains_any(T.fold(F.coalesce(content, F.lit(""))), NO_EVENTS)
+    """A statement that there are none, in lower case with or without accents."""
+    return T.contains_any(F.translate(F.lower(content), "ãáâéêíóôõúç", "aaaeeiooouc"), NO_EVENTS)
 
 
 def complete(content: Column) -> Column:
@@ -67,18 +104,13 @@ def complete(content: Column) -> Column:
 
 
 def landing(url: Column) -> Column:
-    return F.regexp_replace(F.lower(U.path(url)), "^/|/$", "").isin(*LANDING) & (U.query(url) == "")
+    return F.lower(F.regexp_replace(U.path(U.clean_url(url)), "^/+|/+$", "")).isin(*LANDING)
 
 
 def file_url(url: Column) -> Column:
     return F.lower(U.path(url)).rlike(r"\.(" + "|".join(FILES) + ")$")
 
 
-def detail_url(url: Column) -> Column:
-    """An address of one announcement: a number as the last segment, or an id parameter."""
-    return U.path(url).rlike(r"/[0-9]{3,}/?$") | U.query(url).rlike(r"(^|&)id=[0-9]+")
-
-
 def keyword_url(url: Column) -> Column:
     return T.contains_any(F.lower(U.path(url)), KEYWORDS)
 

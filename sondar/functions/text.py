@@ -2,19 +2,49 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Accented Latin letters and their bases, by position.
-ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüçñýÁÀÂÃÄÅÉÈÊËÍÌÎÏÓÒÔÕÖÚÙÛÜÇÑÝ"
-PLAIN = "aaaaaaeeeeiiiiooooouuuucnyAAAAAAEEEEIIIIOOOOOUUUUCNY"
+
+
+def _compatible() -> tuple[str, str, dict[str, str]]:
+    """(characters, their one-character forms, longer forms in ASCII), from the Unicode database.
+
+    Letters and signs up to the number forms, ligatures, and full-width forms; of others only
+    combining marks go.
+    """
+    src, dst, longer = [], [], {}
+    for cp in (*range(0x80, 0x2190), *range(0xFB00, 0xFB07), *range(0xFF01, 0xFF5F)):
+        ch = chr(cp)
+        form = "".join(c for c in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(c)).replace("\u2044", "/")
+        if form == ch:
+            continue
+        if len(form) == 1:
+            src.append(ch)
+            dst.append(form)
+        elif form and form.isascii():
+            longer[ch] = form
+    return "".join(src), "".join(dst), longer
+
+
+_ONE, _FORM, _LONGER = _compatible()
+_MARKS = r"[\x{0300}-\x{036F}\x{1AB0}-\x{1AFF}\x{1DC0}-\x{1DFF}\x{20D0}-\x{20FF}\x{FE20}-\x{FE2F}]"
 CONNECTORS = ("da", "de", "do", "das", "dos")
 STOP = ("municipio", "municipal", "prefeitura", "camara", "concurso", "concursos", "publico", "processo", "seletivo", "edital", "para", "como", "simplificado")
 
 
 def unaccent(c: Column) -> Column:
-    """Latin accents and combining marks off."""
-    return F.regexp_replace(F.translate(c, ACCENTED, PLAIN), "[\\x{0300}-\\x{036F}]", "")
+    """The compatibility form (NFKD) without combining marks: accents off, ligatures, ordinal and width forms plain.
+
+    Forms of several characters are looked up only in texts that have any.
+    """
+    table = F.map_from_arrays(F.split(F.lit("\x01".join(_LONGER)), "\x01"), F.split(F.lit("\x01".join(_LONGER.values())), "\x01"))
+    spelled = F.array_join(F.transform(F.regexp_extract_all(c, F.lit("(?s)(.)"), 1), lambda ch: F.coalesce(F.try_element_at(table, ch), ch)), "")
+    x = F.translate(F.when(F.length(F.translate(c, "".join(_LONGER), "")) < F.length(c), spelled).otherwise(c), _ONE, _FORM)
+    return F.regexp_replace(x, _MARKS, "")
 
 
 def fold(c: Column) -> Column:
@@ -38,12 +68,43 @@ def slug_plain(c: Column) -> Column:
 
 
 def match_form(c: Column) -> Column:
-    """Accents off, lower case, ordinal and degree signs as o, blanks collapsed; punctuation stays."""
-    return F.trim(F.regexp_replace(F.translate(F.lower(unaccent(c)), "º°", "oo"), "\\s+", " "))
+    """Accents off, lower case, degree signs as o, blanks collapsed; punctuation stays."""
+    return F.trim(F.regexp_replace(F.translate(F.lower(unaccent(c)), "°", "o"), "\\s+", " "))
+
+
+def squeezed(c: Column) -> Column:
+    """White space collapsed and trimmed; null as empty."""
+    return F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " "))
 
 
-def ellipsis(c: Column, limit: int) -> Column:
-    return F.when(F.length(c) > limit, F.concat(F.substring(c, 1, limit), F.lit("..."))).otherwise(c)
+def ellipsis(c: Column, limit: int, mark: str = "...") -> Column:
+    """squeezed, cut to `limit` characters with a mark where it is longer."""
+    x = squeezed(c)
+    return F.when(F.length(x) > limit, F.concat(F.substring(x, 1, limit), F.lit(mark))).otherwise(x)
+
+
+def quote_form(c: Column) -> Column:
+    """Form in which quotes are compared: ASCII letters of the compatibility form, lower case, blanks collapsed; punctuation stays.
+
+    Text that shows the marks of UTF-8 read as Latin-1 is read again first, where all of it can be.
+    """
+    x = F.coalesce(c, F.lit(""))
+    broken = x.rlike("[ÃÂ]") & ~x.rlike("[^\\x{00}-\\x{FF}]")
+    again = F.try_validate_utf8(F.encode(x, "ISO-8859-1").cast("string"))
+    x = F.when(broken, F.coalesce(again, x)).otherwise(x)
+    return F.trim(F.regexp_replace(F.lower(F.regexp_replace(unaccent(x), "[^\\x{00}-\\x{7F}]", "")), r"\s+", " "))
+
+
+def file_label(c: Column) -> Column:
+    """Runs of characters that a file name can't have as one underscore."""
+    return F.regexp_replace(c, r"[^A-Za-z0-9_.\-]+", "_")
+
+
+def cased_name(c: Column) -> Column:
+    """A name written at least 72 % in capitals in title case, with small connectors and known acronyms; others as they are."""
+    x = F.initcap(F.lower(c))
+    x = F.array_join(F.transform(F.split(x, " "), lambda w: F.when(w.isin("De", "Da", "Das", "Do", "Dos", "E"), F.lower(w)).when(w.isin("Rs", "Crq", "Crea", "Cref", "Ufsm", "Ufrgs", "Trt", "Dpe"), F.upper(w)).otherwise(w)), " ")
+    return F.when(mostly_upper(c), x).otherwise(F.coalesce(c, F.lit("")))
 
 
 def identity_tokens(c: Column, least: int = 4) -> Column:
@@ -57,10 +118,11 @@ def mostly_upper(c: Column) -> Column:
     return (letters > 0) & (F.length(F.regexp_replace(unaccent(c), "[^A-Z]", "")) >= 0.72 * letters)
 
 
-def windows(c: Column, size: int = 14000, step: int = 12000, most: int = 4) -> Column:
-    """Array of (start, text): one window if the text fits, else overlapping ones."""
+def windows(c: Column, size: int = 14000, step: int = 12000, most: int | None = None) -> Column:
+    """Array of (start, text): one window if the text fits, else overlapping ones, to the text's end or `most` of them."""
     n = F.length(c)
-    starts = F.when(n <= size, F.array(F.lit(0))).otherwise(F.filter(F.transform(F.sequence(F.lit(0), F.lit(most - 1)), lambda k: k * step), lambda s: s < n))
+    starts = F.when(n <= size, F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), n - 1, F.lit(step)))
+    starts = starts if most is None else F.slice(starts, 1, most)
     return F.transform(starts, lambda s: F.struct(s.cast("int").alias("start"), F.substring(c, s + 1, F.lit(size)).alias("text")))
 
 
@@ -72,12 +134,5 @@ def around(c: Column, needle: str, radius: int) -> Column:
 
 
 def contains_any(c: Column, phrases: tuple[str, ...]) -> Column:
-    """Whether any of the literal phrases occurs; c is bound once and not computed again for each phrase."""
-
-    def found(x: Column) -> Column:
-        out = F.lit(False)
-        for p in phrases:
-            out = out | F.contains(x, F.lit(p))
-        return out
-
-    return F.coalesce(F.exists(F.array(c), found), F.lit(False))
+    """Whether any of the literal phrases occurs, in one pass over the text; null holds none."""
+    return F.coalesce(c.rlike("|".join(re.escape(p) for p in phrases)), F.lit(False))

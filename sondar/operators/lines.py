@@ -1,35 +1,68 @@
-"""Positional operators over the lines of texts: one row a line, windows along the text.
-
-A text's lines are one window partition; they were one string of one row before, so
-no partition is larger than a row was.
-"""
+"""Positional operators over the lines of a text, as array functions: no row is exploded to be brought together again."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from collections.abc import Callable
+
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def lines_of(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, line_no from 1, line) of the lines of a text; null texts give none."""
-    return df.select(key, F.posexplode(F.split(text, "\n", -1)).alias("p", "line")).select(key, (F.col("p") + 1).alias("line_no"), "line")
+def lines(text: Column) -> Column:
+    """The lines of a text, empty ones too; null for null."""
+    return F.split(text, "\n", -1)
+
+
+def marked(ls: Column, cond: Callable[[Column], Column]) -> Column:
+    """1 for each line that meets a condition, else 0."""
+    return F.transform(ls, lambda x: F.coalesce(cond(x).cast("int"), F.lit(0)))
+
+
+def near_counts(marks: Column, before: int, after: int) -> Column:
+    """For each line, how many marked ones lie within the distances, itself among them. marks is a column by itself."""
+
+    def count(_, i: Column) -> Column:
+        out = F.lit(0)
+        for k in range(-before, after + 1):
+            out = out + F.coalesce(F.get(marks, i + k), F.lit(0))
+        return out
+
+    return F.transform(marks, count)
+
+
+def last_above(ls: Column, marks: Column, reach: int) -> Column:
+    """For each line, the nearest marked line above, within reach; null if there is none. Both are columns by themselves."""
+    return F.transform(ls, lambda _, i: F.coalesce(*[F.when(F.get(marks, i - k) == 1, F.get(ls, i - k)) for k in range(1, reach + 1)]))
+
+
+def first_below(ls: Column, marks: Column, reach: int) -> Column:
+    """For each line, the nearest marked line below, within reach; null if there is none. Both are columns by themselves."""
+    return F.transform(ls, lambda _, i: F.coalesce(*[F.when(F.get(marks, i + k) == 1, F.get(ls, i + k)) for k in range(1, reach + 1)]))
+
+
+def within(ls: Column, before: int, after: int) -> Column:
+    """For each line, the text of the lines within the distances, itself among them, joined by line feeds."""
+    n = F.size(ls)
 
+    def joined(i: Column) -> Column:
+        a = F.greatest(F.lit(1), i - before)
+        return F.array_join(F.slice(ls, a, F.least(n, i + after) - a + 1), "\n")
 
-def along(key: str) -> W:
-    return W.partitionBy(key).orderBy("line_no")
+    return F.when(n > 0, F.transform(F.sequence(F.lit(1), n), joined))
 
 
-def near_count(cond: Column, key: str, before: int, after: int) -> Column:
-    """How many lines within the distances meet a condition."""
-    return F.sum(cond.cast("int")).over(along(key).rowsBetween(-before, after))
+def starts(ls: Column, cond: Callable[[Column], Column]) -> Column:
+    """Numbers of the lines, from 1, that meet a condition."""
+    at = F.transform(ls, lambda x, i: F.when(cond(x), i + 1))
+    return F.array_compact(at)
 
 
-def last_above(value: Column, cond: Column, key: str, reach: int) -> Column:
-    """The value of the nearest line above, within reach, that meets a condition."""
-    return F.last(F.when(cond, value), ignorenulls=True).over(along(key).rowsBetween(-reach, -1))
+def blocks(starts: Column, n: Column) -> Column:
+    """(first_line, line_count) of the blocks of n lines that begin at `starts`, a column by itself, and end before the next one."""
+    return F.transform(starts, lambda s, k: F.struct(s.alias("first_line"), (F.coalesce(F.try_element_at(starts, k + 2), n + 1) - s).alias("line_count")))
 
 
-def block_id(starts: Column, key: str) -> Column:
-    """Number of the block a line is in, blocks beginning at lines that meet a condition."""
-    return F.sum(starts.cast("int")).over(along(key).rowsBetween(W.unboundedPreceding, 0))
+def first_with(ls: Column, quote: Column) -> Column:
+    """Number of the first line, from 1, that holds a quote; null if none does or the quote is empty."""
+    at = F.array_position(F.transform(ls, lambda x: F.contains(x, quote)), F.lit(True))
+    return F.when((F.length(quote) > 0) & (at > 0), at.cast("int"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 
 def keep_one(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each key in the order given, by one aggregation with map-side combine where it can.
+    """The first row of each key in the order given; rows beyond the first are dropped before the shuffle (group limit).
 
     Ties are settled by the order; a null key is a key of its own.
     """
@@ -60,7 +60,8 @@ def top_per_group(df: DataFrame, group: str, order: list[Column], most: int, tot
 
 def round_robin(df: DataFrame, stratum: str, order: list[Column], n: int) -> DataFrame:
     """n rows taken in turns from the strata: first of each, second of each, and so on."""
-    r = df.withColumn("turn", F.row_number().over(W.partitionBy(stratum).orderBy(*order)))
+    # no stratum gives more than n rows: the group limit cuts each one before the shuffle
+    r = df.withColumn("turn", F.row_number().over(W.partitionBy(stratum).orderBy(*order))).where(F.col("turn") <= n)
     return r.orderBy("turn", stratum).limit(n)
 
 

@@ -12,6 +12,7 @@ from sondar.functions import pages as P
 from sondar.functions import text as T
 from sondar.functions import urls as U
 from sondar.operators import citations as C
+from sondar.operators import decisions as D
 from sondar.operators import lines as L
 from sondar.operators import relational as R
 from sondar.plans.tables import table
@@ -38,7 +39,8 @@ def query(sql: str | None = None):
 
 
 def s_plain(x: str) -> str:
-    return f"regexp_replace(translate({x}, '{T.ACCENTED}', '{T.PLAIN}'), '[\\x{{0300}}-\\x{{036F}}]', '', 'g')"
+    wide = "".join(chr(c) for c in range(0xFF01, 0xFF5F) if chr(c) != "＇")
+    return f"strip_accents(translate({x}, 'ºª²³¹{wide}', 'oa231{"".join(chr(ord(c) - 0xFEE0) for c in wide)}'))"
 
 
 def s_fold(x: str) -> str:
@@ -66,16 +68,34 @@ def s_query(x: str) -> str:
 
 
 def s_unescape(x: str) -> str:
-    for a, b in H.ENTITIES:
+    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
         x = f"replace({x}, '{a}', '{b}')" if b != "'" else f"replace({x}, '{a}', '''')"
     return x
 
 
-_CONN = "(" + ", ".join(f"'{w}'" for w in T.CONNECTORS) + ")"
-_STOP = "(" + ", ".join(f"'{w}'" for w in T.STOP) + ")"
+def s_metric(x: str) -> str:
+    """The metric key, from the address as written; no package pattern takes part."""
+    u = f"CASE WHEN contains(coalesce({x}, ''), '://') THEN trim({x}) ELSE 'http://' || trim(coalesce({x}, '')) END"
+    host = f"regexp_replace(lower(regexp_extract({u}, '^[^:/?#]*://([^/?#]*)', 1)), '^www\\.', '')"
+    path = f"regexp_replace(regexp_extract({u}, '^[^:/?#]*://[^/?#]*([^?#]*)', 1), '/+$', '')"
+    part = "list_filter(string_split(regexp_extract({u}, '\\?([^#]*)', 1), '&'), lambda p: p <> '')".format(u=u)
+    pairs = f"list_sort(list_transform({part}, lambda p: {{'k': url_decode(replace(split_part(p, '=', 1), '+', ' ')), 'v': url_decode(replace(CASE WHEN contains(p, '=') THEN regexp_replace(p, '^[^=]*=', '') ELSE '' END, '+', ' '))}}))"
+    query = f"array_to_string(list_transform({pairs}, lambda q: lower(q.k) || '=' || q.v), '&')"
+    return f"(CASE WHEN lower(trim(coalesce({x}, ''))) IN ('', 'no_existe') THEN '' ELSE {host} || {path} || CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END END)"
+
+
+def s_key_host(k: str) -> str:
+    return f"split_part(split_part({k}, '?', 1), '/', 1)"
+
+
+S_ANCHOR = r"""(?is)<a\s[^>]*href=["'']([^"'']+)["''][^>]*>(.*?)</a>"""
+_CONN = "('da', 'de', 'do', 'das', 'dos')"
+_STOP = "('municipio', 'municipal', 'prefeitura', 'camara', 'concurso', 'concursos', 'publico', 'processo', 'seletivo', 'edital', 'para', 'como', 'simplificado')"
 
 # --- text
 
+_S_SQUEEZED = "trim(regexp_replace(coalesce(title, ''), '[\\s\\x{00A0}\\x{2000}-\\x{200A}\\x{202F}\\x{3000}]+', ' ', 'g'))"
+
 
 @query(f"""SELECT golden_id, {s_fold("municipio")} AS folded, replace({s_fold("municipio")}, ' ', '-') AS slug,
     array_to_string(list_filter(string_split({s_fold("municipio")}, ' '), lambda w: w NOT IN {_CONN}), '') AS plain_slug,
@@ -86,8 +106,8 @@ def names_normalized(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "golden_set_v1").select("golden_id", T.fold(m).alias("folded"), T.slug(m).alias("slug"), T.slug_plain(m).alias("plain_slug"), T.compact(m).alias("muni_key"))
 
 
-@query(f"""SELECT doc_id, trim(regexp_replace(translate(lower({s_plain("title")}), 'º°', 'oo'), '\\s+', ' ', 'g')) AS match_form,
-    CASE WHEN length(title) > 40 THEN substring(title, 1, 40) || '...' ELSE title END AS short_title,
+@query(f"""SELECT doc_id, trim(regexp_replace(translate(lower({s_plain("title")}), '°', 'o'), '\\s+', ' ', 'g')) AS match_form,
+    CASE WHEN length({_S_SQUEEZED}) > 40 THEN substring({_S_SQUEEZED}, 1, 40) || '...' ELSE {_S_SQUEEZED} END AS short_title,
     list_distinct_ordered AS tokens, (letters > 0 AND caps >= 0.72 * letters) AS mostly_upper FROM (SELECT *,
       list_filter(f, lambda w, i: list_position(f, w) = i) AS list_distinct_ordered FROM (SELECT *,
       list_filter(string_split({s_fold("title")}, ' '), lambda w: length(w) >= 4 AND w NOT IN {_STOP}) AS f,
@@ -98,10 +118,10 @@ def titles_normalized(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", T.match_form(t).alias("match_form"), T.ellipsis(t, 40).alias("short_title"), T.identity_tokens(t).alias("tokens"), T.mostly_upper(t).alias("mostly_upper"))
 
 
-@query("""SELECT doc_id, (k * 12000)::INT AS start, sha256(substring(text, k * 12000 + 1, 14000)) AS window_hash FROM documents, range(0, 4) r(k)
-    WHERE text IS NOT NULL AND (k = 0 OR (length(text) > 14000 AND k * 12000 < length(text)))""")
+@query("""SELECT doc_id, (k * 12000)::INT AS start, sha256(substring(text, k * 12000 + 1, 14000)) AS window_hash FROM (
+    SELECT doc_id, text, unnest(range(0, CASE WHEN length(text) > 14000 THEN (length(text) + 11999) // 12000 ELSE 1 END)) AS k FROM documents WHERE text IS NOT NULL)""")
 def text_windows(spark: SparkSession, d: str) -> DataFrame:
-    """Overlapping windows of 14000 characters, every 12000, four at most."""
+    """Overlapping windows of 14000 characters, every 12000, to the end of the text."""
     w = F.explode(T.windows(F.col("text"))).alias("w")
     return table(spark, d, "documents").where("text is not null").select("doc_id", w).select("doc_id", F.col("w.start").alias("start"), F.sha2(F.col("w.text"), 256).alias("window_hash"))
 
@@ -112,6 +132,18 @@ def text_around(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", T.around(F.col("text"), "edital", 40).alias("around")).where("around is not null")
 
 
+@query(f"""SELECT doc_id, lower(regexp_replace({s_plain("coalesce(title, '')")}, '[^\\x00-\\x7F]', '', 'g')) AS plain_quote, regexp_replace(coalesce(bucket, ''), '[^A-Za-z0-9_.\\-]+', '_', 'g') AS label,
+    CASE WHEN length({_S_SQUEEZED}) > 60 THEN substring({_S_SQUEEZED}, 1, 60) || ' [...]' ELSE {_S_SQUEEZED} END AS bounded, CASE WHEN contains({s_fold("coalesce(title, '')")}, 'processo seletivo') OR contains({s_fold("coalesce(title, '')")}, 'pss') OR contains({s_fold("coalesce(title, '')")}, 'seletivo simplificado') OR contains({s_fold("coalesce(title, '')")}, 'selecao publica') THEN 'processo_seletivo' ELSE 'concurso_publico' END AS tipo
+    FROM documents WHERE NOT regexp_matches(coalesce(title, ''), '[ÃÂ]')""")
+def title_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Titles in the form quotes are compared in, as a file label, bounded, and the type of announcement they name; titles with marks of a wrong encoding are left to quote_form's tests."""
+    t = F.col("title")
+    x = table(spark, d, "documents").where(~F.coalesce(t.rlike("[ÃÂ]"), F.lit(False)))
+    f = T.fold(F.coalesce(t, F.lit("")))
+    quote = F.lower(F.regexp_replace(T.unaccent(F.coalesce(t, F.lit(""))), "[^\\x{00}-\\x{7F}]", ""))
+    return x.select("doc_id", quote.alias("plain_quote"), T.file_label(F.coalesce("bucket", F.lit(""))).alias("label"), T.ellipsis(t, 60, " [...]").alias("bounded"), F.when(T.contains_any(f, ("processo seletivo", "pss", "seletivo simplificado", "selecao publica")), "processo_seletivo").otherwise("concurso_publico").alias("tipo"))
+
+
 # --- addresses
 
 
@@ -135,14 +167,20 @@ def url_variants(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "fetched_evidence").select("evidence_id", U.without_defaults(u).alias("default_free"), U.all_years(u).alias("all_years"), U.redacted(u).alias("redacted"))
 
 
-@query(f"""SELECT evidence_id, trim(regexp_replace(lower({s_path("final_url")}), '^/|/$', '', 'g')) IN ({", ".join(f"'{x}'" for x in P.LANDING)}) AND {s_query("final_url")} = '' AS landing,
-    regexp_matches(lower({s_path("final_url")}), '\\.({"|".join(P.FILES)})$') AS file_url, regexp_matches({s_path("final_url")}, '/[0-9]{{3,}}/?$') OR regexp_matches({s_query("final_url")}, '(^|&)id=[0-9]+') AS detail,
-    {s_any(f'lower({s_path("final_url")})', P.KEYWORDS)} AS keyword, CASE WHEN regexp_extract(coalesce(final_url, ''), '(?:ano|year)=((?:19|20)[0-9]{{2}})', 1) <> '' THEN regexp_extract(final_url, '(?:ano|year)=((?:19|20)[0-9]{{2}})', 1)::INT END AS url_year
+_S_CLEAN = "regexp_replace(CASE WHEN trim(coalesce({x}, '')) <> '' AND NOT contains({x}, '://') THEN 'http://' || trim({x}) ELSE trim(coalesce({x}, '')) END, '/+$', '')"
+_S_FU = "coalesce(final_url, '')"
+
+
+@query(f"""SELECT evidence_id, lower(regexp_replace({s_path(_S_CLEAN.format(x="final_url"))}, '^/+|/+$', '', 'g')) IN ('', 'web', 'home', 'inicio', 'index.php', 'index.html', 'portal', 'site') AS landing,
+    regexp_matches(lower({s_path("final_url")}), '\\.(pdf|doc|docx|xls|xlsx)$') AS file_url, regexp_matches(lower({_S_FU}), '/id/[0-9]+|/detalhe/|/legislacao/detalhe|[?&]slug=|\\.pdf(\\?|$)') AS hard_detail,
+    regexp_matches(lower({_S_FU}), '/id/[0-9]+|/detalhe/|/legislacao/detalhe|[?&]slug=|\\.pdf(\\?|$)|/conteudos?/[0-9]+') AS detail, {s_any(f'lower({s_path("final_url")})', ("concurso", "seletivo", "selecoes", "edital", "pss"))} AS keyword,
+    CASE WHEN regexp_extract({_S_FU}, '(?:ano|year)=((?:19|20)[0-9]{{2}})', 1) <> '' THEN regexp_extract(final_url, '(?:ano|year)=((?:19|20)[0-9]{{2}})', 1)::INT END AS url_year,
+    {s_any(s_host("final_url"), ("facebook.", "instagram.", "youtube.", "twitter.", "x.com", "linkedin.", "acheconcursos.", "pciconcursos.", "qconcursos.", "google.", "bing.", "duckduckgo."))} AS never_official
     FROM fetched_evidence""")
 def url_flags(spark: SparkSession, d: str) -> DataFrame:
     """What an address is by itself."""
     u = F.col("final_url")
-    return table(spark, d, "fetched_evidence").select("evidence_id", P.landing(u).alias("landing"), P.file_url(u).alias("file_url"), P.detail_url(u).alias("detail"), P.keyword_url(u).alias("keyword"), P.url_year(u).alias("url_year"))
+    return table(spark, d, "fetched_evidence").select("evidence_id", P.landing(u).alias("landing"), P.file_url(u).alias("file_url"), U.hard_detail(u).alias("hard_detail"), U.maybe_detail(u).alias("detail"), P.keyword_url(u).alias("keyword"), P.url_year(u).alias("url_year"), U.listed_host(u).alias("never_official"))
 
 
 @query(f"""WITH s AS (SELECT evidence_id, regexp_extract(requested_url, '^([a-zA-Z]+://[^/?#]+)', 1) AS root, list_filter(string_split(regexp_replace({s_path("requested_url")}, '^/|/$', '', 'g'), '/'), lambda x: x <> '') AS g FROM fetched_evidence)
@@ -160,10 +198,11 @@ def host_suffix_join(spark: SparkSession, d: str) -> DataFrame:
     return R.suffix_join(table(spark, d, "fetched_evidence").where("host is not null"), reg, "host", "s")
 
 
-@query("SELECT DISTINCT host FROM fetched_evidence f WHERE host IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dominios_oficiales o WHERE o.host = f.host)")
+@query(f"""SELECT DISTINCT {s_bare("pagina_oficial")} AS host FROM concursos_base WHERE coalesce(pagina_oficial, '') <> '' AND {s_bare("pagina_oficial")} NOT IN (SELECT {s_bare("host")} FROM dominios_oficiales WHERE host IS NOT NULL)""")
 def hosts_unregistered(spark: SparkSession, d: str) -> DataFrame:
-    """Hosts that the registry doesn't hold."""
-    return table(spark, d, "fetched_evidence").where("host is not null").select("host").distinct().join(table(spark, d, "dominios_oficiales").select("host"), "host", "left_anti")
+    """Hosts of announcements' pages that the registry doesn't hold, www and port apart."""
+    t = table(spark, d, "concursos_base").where("coalesce(pagina_oficial, '') != ''").select(U.bare_host(F.col("pagina_oficial")).alias("host")).distinct()
+    return t.join(table(spark, d, "dominios_oficiales").select(U.bare_host(F.col("host")).alias("host")), "host", "left_anti")
 
 
 @query(f"""WITH m AS (SELECT DISTINCT regexp_replace(lower({s_plain("municipio")}), '[^a-z0-9]', '', 'g') AS muni_key FROM golden_set_v1 WHERE municipio IS NOT NULL)
@@ -175,19 +214,51 @@ def candidate_domains(spark: SparkSession, d: str) -> DataFrame:
     return m.select("muni_key", F.explode(forms).alias("candidate"))
 
 
+_S_RK = "list_sort(list_filter(string_split(regexp_extract({u}, '\\?([^#]*)', 1), '&'), lambda p: p <> ''))"
+
+
+@query(f"""SELECT evidence_id, {s_metric("final_url")} AS metric_key, {s_key_host(s_metric("final_url"))} AS key_host, {_S_CLEAN.format(x="final_url")} AS cleaned, regexp_extract(coalesce(final_url, ''), '^([a-zA-Z][a-zA-Z0-9+.\\-]*://[^/?#]+)', 1) AS host_base,
+    starts_with(lower(trim(coalesce(final_url, ''))), 'http') AS has_http, {s_metric("requested_url")} = {s_metric("final_url")} AS same_resource, {s_bare("requested_url")} = {s_bare("final_url")} AS same_host,
+    regexp_matches(lower(split_part(url_decode(lower(coalesce(final_url, ''))), '?', 1)), '\\.(pdf|doc|docx)$') AS document,
+    CASE WHEN regexp_matches({s_host("final_url")}, '^[0-9]{{1,3}}(\\.[0-9]{{1,3}}){{3}}$') THEN 'ipv4:' || regexp_extract({s_host("final_url")}, '^([0-9]+\\.[0-9]+\\.[0-9]+)', 1) || '.0/24' ELSE 'host:' || {s_host("final_url")} END AS freeze_group
+    FROM fetched_evidence""")
+def resource_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Keys by which addresses are compared, and what an address says of its host."""
+    u, r = F.col("final_url"), F.col("requested_url")
+    x = table(spark, d, "fetched_evidence").select("evidence_id", u, r, U.metric_key(u).alias("metric_key"), U.metric_key(r).alias("rk"))
+    return x.select("evidence_id", "metric_key", U.key_host(F.col("metric_key")).alias("key_host"), U.clean_url(u).alias("cleaned"), U.host_base(u).alias("host_base"), U.has_http(u).alias("has_http"), (F.col("rk") == F.col("metric_key")).alias("same_resource"), (U.bare_host(r) == U.bare_host(u)).alias("same_host"), U.document_url(u).alias("document"), U.freeze_group(u).alias("freeze_group"))
+
+
+@query()
+def reach_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Whether the requested address reaches the final page, parameters that mean all years apart; long addresses cut, viewers unwrapped."""
+    u, r = F.col("final_url"), F.col("requested_url")
+    return table(spark, d, "fetched_evidence").select("evidence_id", F.coalesce(U.same_page(r, u), F.lit(False)).alias("reaches"), U.bounded_url(u, 60).alias("short_url"), U.unwrapped(u).alias("document_url"))
+
+
+@query()
+def provider_links(spark: SparkSession, d: str) -> DataFrame:
+    """The provider whose announcement a link leads to, and its page there; empty for links to no known provider."""
+    u = F.col("edital_abertura_url")
+    return table(spark, d, "concursos_base").select("base_id", U.provider_of(u).alias("provider"), U.provider_page(u).alias("page"))
+
+
 # --- page source
 
 
 @query(f"""SELECT evidence_id, trim({s_unescape("regexp_extract(html, '<title[^>]*>([^<]*)</title>', 1)")}) AS page_title, trim({s_unescape("regexp_extract(html, '<h1[^>]*>([^<]*)</h1>', 1)")}) AS heading,
+    list_filter(list_transform(regexp_extract_all(html, '(?is)<h[1-4]\\b[^>]*>(.*?)</h[1-4]>', 1), lambda h: trim(regexp_replace({s_unescape("regexp_replace(h, '<[^>]+>', ' ', 'g')")}, '\\s+', ' ', 'g'))), lambda h: length(h) BETWEEN 6 AND 180) AS headings,
+    len(list_distinct(list_transform(regexp_extract_all(html, 'https?://[^\\s"''<>)]+'), lambda u: regexp_replace(u, '[.,;]+$', ''))))::INT AS named_urls,
     md5(trim(regexp_replace({s_unescape("regexp_replace(regexp_replace(html, '(?s)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g')")}, '\\s+', ' ', 'g'))) AS text_hash FROM fetched_evidence WHERE html <> ''""")
 def page_fields(spark: SparkSession, d: str) -> DataFrame:
     """Title, heading and visible text of the source."""
     h = F.col("html")
-    return table(spark, d, "fetched_evidence").where("html != ''").select("evidence_id", H.title(h).alias("page_title"), H.heading(h).alias("heading"), F.md5(H.text(h)).alias("text_hash"))
+    return table(spark, d, "fetched_evidence").where("html != ''").select("evidence_id", H.title(h).alias("page_title"), H.heading(h).alias("heading"), H.headings(h).alias("headings"), F.size(H.bare_urls(h)).alias("named_urls"), F.md5(H.text(h)).alias("text_hash"))
 
 
-_S_ANCHORS = f"""SELECT evidence_id, pos, regexp_extract(a, '{H.ANCHOR}', 1) AS href, trim({s_unescape(f"regexp_extract(a, '{H.ANCHOR}', 2)")}) AS label, requested_url FROM (
-    SELECT evidence_id, requested_url, unnest(l) AS a, generate_subscripts(l, 1) AS pos FROM (SELECT evidence_id, requested_url, regexp_extract_all(html, '{H.ANCHOR}') AS l FROM fetched_evidence WHERE html <> ''))"""
+_S_LABEL = f"""trim(regexp_replace({s_unescape(f"regexp_replace(regexp_extract(a, '{S_ANCHOR}', 2), '<[^>]+>', '', 'g')")}, '\\s+', ' ', 'g'))"""
+_S_ANCHORS = f"""SELECT evidence_id, pos, regexp_extract(a, '{S_ANCHOR}', 1) AS href, {_S_LABEL} AS label, requested_url FROM (
+    SELECT evidence_id, requested_url, unnest(l) AS a, generate_subscripts(l, 1) AS pos FROM (SELECT evidence_id, requested_url, regexp_extract_all(html, '{S_ANCHOR}') AS l FROM fetched_evidence WHERE html <> ''))"""
 
 
 def _anchors(spark: SparkSession, d: str) -> DataFrame:
@@ -203,7 +274,7 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
     return a.groupBy("evidence_id", "link").agg(F.min("pos").alias("first_pos"), F.count(F.lit(1)).alias("times"))
 
 
-@query(f"""SELECT evidence_id, pos, label FROM (SELECT *, row_number() OVER (PARTITION BY evidence_id ORDER BY pos) AS rn FROM ({_S_ANCHORS}) WHERE {s_any(s_fold("label") + " || ' ' || lower(href)", P.KEYWORDS)}) WHERE rn <= 4""")
+@query(f"""SELECT evidence_id, pos, label FROM (SELECT *, row_number() OVER (PARTITION BY evidence_id ORDER BY pos) AS rn FROM ({_S_ANCHORS}) WHERE {s_any(s_fold("label") + " || ' ' || lower(href)", ("concurso", "seletivo", "selecoes", "edital", "pss"))}) WHERE rn <= 4""")
 def container_links(spark: SparkSession, d: str) -> DataFrame:
     """The first four links of a page whose label or path names an announcement."""
     a = _anchors(spark, d).where(T.contains_any(F.concat(T.fold(F.col("label")), F.lit(" "), F.lower("href")), P.KEYWORDS))
@@ -219,60 +290,99 @@ def shared_menu_entries(spark: SparkSession, d: str) -> DataFrame:
 # --- page predicates
 
 
-def _s_head(n: int) -> str:
-    return s_fold(f"substring(coalesce(content, ''), 1, {n})")
+def _s_th(n: int) -> str:
+    return s_fold(f"coalesce(title, '') || ' ' || substring(coalesce(content, ''), 1, {n})")
 
 
-_S_TH = s_fold("coalesce(title, '') || ' ' || substring(coalesce(content, ''), 1, 500)")
+_S_OK = "(status IS NULL OR status BETWEEN 200 AND 399)"
+_S_SIGNS = ("security checkpoint", "vercel security", "just a moment", "checking your browser", "attention required", "cloudflare", "verifying you are human", "enable javascript and cookies")
+_S_ITEMS = "len(list_distinct(regexp_extract_all(lower(strip_accents(substring(coalesce(content, ''), 1, 2500))), '((?:edital|concurso|processo|retificacao|convocacao|certame)[^0-9\n]{0,20}[0-9]{1,4}/[0-9]{4})', 1)))"
+_S_WALLS = ("usa cookies", "utiliza cookies", "aceitar cookies", "aceite os cookies", "faca seu login", "habilite o javascript", "enable javascript", "ative o javascript", "ativar o javascript")
+_S_AUDIT = ("um momento", "just a moment", "verificacao de seguranca", "verificando seguranca", "checking your browser", "cf browser verification", "attention required", "enable javascript and cookies to continue", "ddos guard", "needs to review the security")
+_S_ERRORS = ("server error in", "runtime error", "application error", "erro de execucao", "internal server error", "http error 500", "service unavailable", "error 503", "could not connect", "error establishing a database", "exception details")
+_S_SOFT = ("pagina nao encontrada", "nao encontramos", "erro 404", "error 404", "not found", "pagina inexistente", "conteudo nao encontrado")
+_S_PARKED = ("em construcao", "em manutencao", "hospedagem de site", "dominio gratis", "registre seu dominio", "compre este dominio", "domain for sale")
 
 
-@query(f"""SELECT evidence_id, (status IS NULL OR status BETWEEN 200 AND 399) AS page_ok, NOT (status IS NULL OR status BETWEEN 200 AND 399) OR {s_any(_S_TH, P.NOT_FOUND)} AS soft404, {s_any(_s_head(800), P.PARKED)} AS parked,
-    {s_any(s_fold("coalesce(title, '')"), P.CHALLENGE)} OR ({s_any(_s_head(1500), P.CHALLENGE)} AND length(coalesce(content, '')) < 1500) AS challenged, {s_any(_s_head(600), P.SERVER_ERROR)} AS server_error,
-    length(coalesce(content, '')) <= 2500 AND {s_any(_s_head(2500), P.WALL)} AS walled, {s_any(s_fold("coalesce(content, '')"), P.NO_EVENTS)} AS no_events,
+@query(f"""SELECT evidence_id, {_S_OK} AS page_ok, NOT {_S_OK} OR {s_any(_s_th(500), _S_SOFT)} AS soft404, {s_any(_s_th(800), _S_PARKED)} AS parked,
+    {s_any("lower(title)", _S_SIGNS)} OR {s_any("lower(content)", _S_SIGNS)} OR {s_any("lower(html)", _S_SIGNS)} AS challenged,
+    {s_any("lower(substring(html, 1, 200000))", ("challenge-platform", "/cdn-cgi/challenge", "_cf_chl_opt", "cf_chl_", "ddos-guard"))} OR ({s_any("lower(title)", ("one moment, please", "just a moment", "checking your browser", "attention required"))} AND length(coalesce(content, '')) < 1500) AS guarded,
+    {s_any(_s_th(600), _S_AUDIT)} AS audit_challenge, {s_any(_s_th(600), _S_ERRORS)} AS server_error, {s_any(_s_th(400), ("pagina nao encontrada", "page not found", "404 not found", "erro 404", "conteudo nao encontrado"))} AS not_found,
+    coalesce(status IN (429, 503), false) OR {s_any(s_fold("substring(html, 1, 5000)"), ("wordfence", "acesso a este site foi limitado", "maximum number of page requests", "page requests per minute"))} AS blocked,
+    length(coalesce(content, '')) <= 2500 AND {_S_ITEMS} < 2 AND {s_any(s_fold("substring(coalesce(content, ''), 1, 2500)"), _S_WALLS)} AS walled,
+    {s_any("translate(lower(content), 'ãáâéêíóôõúç', 'aaaeeiooouc')", ("nenhum registro encontrado", "nao ha certames", "sem editais publicados", "nenhum resultado"))} AS no_events,
     trim(coalesce(content, '')) <> '' AND length(coalesce(content, '')) - length(replace(coalesce(content, ''), chr(10), '')) >= 3 AS complete FROM fetched_evidence""")
 def page_flags(spark: SparkSession, d: str) -> DataFrame:
-    """What a page is by its status, title and text."""
-    s, t, c = F.col("status"), F.col("title"), F.col("content")
-    flags = {"page_ok": P.ok(s), "soft404": P.soft404(s, t, c), "parked": P.parked(c), "challenged": P.challenged(t, c), "server_error": P.server_error(c), "walled": P.walled(c), "no_events": P.no_events(c), "complete": P.complete(c)}
-    return table(spark, d, "fetched_evidence").select("evidence_id", *[f.alias(n) for n, f in flags.items()])
-
-
-@query(f"""WITH x AS (SELECT evidence_id, {s_any("substring(coalesce(html, ''), 1, 200000)", P.FRAMEWORK)} AS fw, len(regexp_extract_all(coalesce(html, ''), '<a ')) AS links, length(coalesce(content, '')) AS body FROM fetched_evidence)
-    SELECT evidence_id, CASE WHEN fw AND links < 8 AND body < 400 THEN 'thin_shell' WHEN fw AND links < 8 THEN 'app_shell' WHEN links >= 8 THEN 'navigated' ELSE 'plain' END AS shell FROM x""")
+    """What a page is by its status, title, text and source. Heads are folded once, each list is one pass."""
+    s, t, c, h = F.col("status"), F.col("title"), F.col("content"), F.col("html")
+    heads = {f"h{n}": P.title_and_head(t, c, n) for n in (400, 500, 600, 800)}
+    x = table(spark, d, "fetched_evidence").select("evidence_id", "status", "title", "content", "html", *[e.alias(n) for n, e in heads.items()], T.fold(F.substring(F.coalesce(c, F.lit("")), 1, 2500)).alias("wall"), N.distinct_items(F.lower(T.unaccent(F.substring(F.coalesce(c, F.lit("")), 1, 2500)))).alias("items"))
+    flags = {
+        "page_ok": P.ok(s),
+        "soft404": P.soft404(s, F.col("h500")),
+        "parked": T.contains_any(F.col("h800"), P.PARKED),
+        "challenged": P.challenged(t, c, h),
+        "guarded": P.guarded(t, c, h),
+        "audit_challenge": T.contains_any(F.col("h600"), P.AUDIT_CHALLENGE),
+        "server_error": T.contains_any(F.col("h600"), P.SERVER_ERROR),
+        "not_found": T.contains_any(F.col("h400"), P.NOT_FOUND),
+        "blocked": P.blocked(s, h),
+        "walled": P.walled(c, F.col("wall"), F.col("items")),
+        "no_events": P.no_events(c),
+        "complete": P.complete(c),
+    }
+    return x.select("evidence_id", *[f.alias(n) for n, f in flags.items()])
+
+
+_S_LINKS = f"len(list_distinct(list_filter(regexp_extract_all(coalesce(html, ''), '{S_ANCHOR}', 1), lambda h: starts_with(h, 'http'))))"
+
+
+@query(f"""WITH x AS (SELECT evidence_id, {s_any("lower(substring(html, 1, 200000))", ("__next_data__", "/_next/", "window.__nuxt__", "data-reactroot", 'id="__nuxt"'))} AS fw, {_S_LINKS} AS links,
+      {_S_OK} AND length(coalesce(html, '')) >= 2000 AND length(trim(coalesce(content, ''))) < 500 AND coalesce(regexp_matches(html, '(?i)<script[^>]+\\bsrc\\s*='), false) AS thin FROM fetched_evidence)
+    SELECT evidence_id, CASE WHEN fw AND links < 8 THEN 'app_shell' WHEN thin THEN 'thin_shell' WHEN links >= 8 THEN 'navigated' ELSE 'plain' END AS shell FROM x""")
 def page_shells(spark: SparkSession, d: str) -> DataFrame:
-    """Shells of script applications, by framework marks, links and text."""
-    links = F.size(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit("<a "), 0))
-    app, thin = P.app_shell(F.col("html"), links), F.length(F.coalesce("content", F.lit(""))) < 400
-    kind = R.first_rule([("thin_shell", app & thin), ("app_shell", app), ("navigated", links >= 8)], "plain")
-    return table(spark, d, "fetched_evidence").select("evidence_id", kind.alias("shell"))
+    """Shells of script applications, by framework marks, links, scripts and text."""
+    h = F.coalesce("html", F.lit(""))
+    links = F.size(F.array_distinct(F.filter(F.transform(H.anchors(h), lambda a: a["href"]), lambda x: x.startswith("http"))))
+    x = table(spark, d, "fetched_evidence").select("evidence_id", links.alias("links"), P.thin_shell(F.col("status"), F.col("content"), F.col("html")).alias("thin"), "html")
+    kind = R.first_rule([("app_shell", P.app_shell(F.col("html"), F.col("links"))), ("thin_shell", F.col("thin")), ("navigated", F.col("links") >= 8)], "plain")
+    return x.select("evidence_id", kind.alias("shell"))
 
 
 # --- numbers
 
 
+_S_KEY = "(?:^|[^0-9./])([0-9]{1,4})\\s*[/-]\\s*(20[12][0-9])\\b"
+_S_SHORT = "(?i)(?:edital|concursos?|processos?\\s+seletiv\\w*|sele[cç][aã]o|\\bpss\\b|\\bn(?:[º°]|o)?\\b)(?:[^0-9]{0,23}?[^0-9./])?([0-9]{1,4})\\s*[/-]\\s*([0-9]{2})\\b(\\s*[/-]\\s*[0-9]{2,4}\\b)?"
+
+
 def _s_num(x: str, out: str) -> str:
-    pattern = N.LABEL if out == "label" else N.KEY
-    a, b = f"regexp_extract({x}, '{pattern}', 1)", f"regexp_extract({x}, '{pattern}', 2)"
-    y = f"CASE WHEN length({b}) = 4 THEN {b}::INT WHEN {b}::INT <= 39 THEN {b}::INT + 2000 ELSE {b}::INT + 1900 END"
-    n = f"CASE WHEN {a} <> '' THEN {a}::INT END"
+    a, b = (f"regexp_extract({x}, '{_S_KEY}', {k})" for k in (1, 2))
+    c, e, tail = (f"regexp_extract({x}, '{_S_SHORT}', {k})" for k in (1, 2, 3))
     if out == "number":
-        return n
-    if out == "year":
-        return f"CASE WHEN {a} <> '' THEN {y} END"
-    return f"CASE WHEN {a} <> '' THEN 'nº ' || CASE WHEN {a}::INT < 10 THEN '0' ELSE '' END || ({a}::INT)::VARCHAR || '/' || ({y})::VARCHAR END"
+        return f"CASE WHEN {a} <> '' THEN {a}::INT WHEN {c} <> '' AND {tail} = '' THEN {c}::INT END"
+    return f"CASE WHEN {a} <> '' THEN {b}::INT WHEN {c} <> '' AND {tail} = '' THEN {e}::INT + CASE WHEN {e}::INT <= 39 THEN 2000 ELSE 1900 END END"
 
 
-@query(f"""SELECT doc_id, {_s_num("title", "number")} AS number, {_s_num("title", "year")} AS year, {_s_num("title", "label")} AS label FROM documents""")
+@query(f"""SELECT doc_id, {_s_num("title", "number")} AS number, {_s_num("title", "year")} AS year FROM documents""")
 def number_keys(spark: SparkSession, d: str) -> DataFrame:
-    """Number and year named in a title, and their label."""
+    """Number and year named in a title."""
     k = N.number_key(F.col("title"))
-    return table(spark, d, "documents").select("doc_id", k["number"].alias("number"), k["year"].alias("year"), N.number_label(F.col("title")).alias("label"))
+    return table(spark, d, "documents").select("doc_id", k["number"].alias("number"), k["year"].alias("year"))
+
+
+@query()
+def number_forms(spark: SparkSession, d: str) -> DataFrame:
+    """Numbers of a document by each of the reading rules; SQL's patterns have no look-around, so tests compare them with plain ones."""
+    x = table(spark, d, "documents").select("doc_id", "title", T.match_form(F.col("title")).alias("m"), T.match_form(N.head_lines(F.col("text"))).alias("h"), T.match_form(F.substring("text", 1, 1200)).alias("s"), N.own_key(F.col("text")).alias("own"))
+    audit = F.coalesce(*[F.nullif(N.context_label(F.col(c)), F.lit("")) for c in ("m", "h", "s")], F.lit(""))
+    return x.select("doc_id", N.number_label(F.col("title")).alias("label"), N.named_label(F.col("title")).alias("named"), N.parts_label(F.col("m")).alias("parts"), N.titled_label(F.col("m")).alias("titled"), audit.alias("audit"), F.col("own.number").alias("own_number"), F.col("own.year").alias("own_year"))
 
 
 _S_ITEM_TEXT = f"lower({s_plain('text')})"
 
 
-@query(f"""SELECT doc_id, len(list_distinct(regexp_extract_all({_S_ITEM_TEXT}, '({N.ITEM})', 1)))::INT AS items FROM documents WHERE text IS NOT NULL""")
+@query(f"""SELECT doc_id, len(list_distinct(regexp_extract_all({_S_ITEM_TEXT}, '((?:edital|concurso|processo|retificacao|convocacao|certame)[^0-9\n]{{0,20}}[0-9]{{1,4}}/[0-9]{{4}})', 1)))::INT AS items FROM documents WHERE text IS NOT NULL""")
 def distinct_items(spark: SparkSession, d: str) -> DataFrame:
     """Number of distinct announcement items named in a text."""
     return table(spark, d, "documents").where("text is not null").select("doc_id", N.distinct_items(F.lower(T.unaccent(F.col("text")))).alias("items"))
@@ -296,47 +406,73 @@ _S_LINES = "SELECT evidence_id, generate_subscripts(l, 1) AS line_no, unnest(l)
 
 
 def _lines(spark: SparkSession, d: str) -> DataFrame:
-    return L.lines_of(table(spark, d, "fetched_evidence"), "evidence_id", "content")
+    return table(spark, d, "fetched_evidence").where("content is not null").select("evidence_id", L.lines(F.col("content")).alias("ls"))
 
 
-@query(f"""SELECT evidence_id, line_no::INT AS line_no, near::BIGINT AS near FROM (SELECT *, sum((length(line) BETWEEN 3 AND 30)::INT) OVER (PARTITION BY evidence_id ORDER BY line_no ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS near FROM ({_S_LINES})) WHERE near >= 10""")
+@query(f"""SELECT evidence_id, line_no::INT AS line_no, near::INT AS near FROM (SELECT *, sum((length(line) BETWEEN 3 AND 30)::INT) OVER (PARTITION BY evidence_id ORDER BY line_no ROWS BETWEEN 6 PRECEDING AND 6 FOLLOWING) AS near FROM ({_S_LINES})) WHERE near >= 10""")
 def nav_cluster(spark: SparkSession, d: str) -> DataFrame:
     """Lines among at least ten short ones within six lines."""
-    short = F.length("line").between(3, 30)
-    return _lines(spark, d).withColumn("near", L.near_count(short, "evidence_id", 6, 6)).where("near >= 10").select("evidence_id", "line_no", "near")
+    x = _lines(spark, d).select("evidence_id", L.marked(F.col("ls"), lambda x: F.length(x).between(3, 30)).alias("marks"))
+    return x.select("evidence_id", F.posexplode(L.near_counts(F.col("marks"), 6, 6)).alias("p", "near")).where("near >= 10").select("evidence_id", (F.col("p") + 1).alias("line_no"), "near")
 
 
-_S_NUMLINE = f"regexp_matches(line, '{N.KEY}')"
+_S_NUMLINE = f"regexp_matches(line, '{_S_KEY}')"
 
 
 @query(f"""SELECT evidence_id, line_no::INT AS line_no, parent FROM (SELECT *, last_value(CASE WHEN {_S_NUMLINE} THEN line END IGNORE NULLS) OVER (PARTITION BY evidence_id ORDER BY line_no ROWS BETWEEN 9 PRECEDING AND 1 PRECEDING) AS parent FROM ({_S_LINES}))
     WHERE parent IS NOT NULL AND regexp_matches(line, '^(Baixar|Anexo|Arquivo)')""")
 def parent_above(spark: SparkSession, d: str) -> DataFrame:
     """Attachments with the nearest numbered line above, within nine lines."""
-    x = _lines(spark, d).withColumn("parent", L.last_above(F.col("line"), F.col("line").rlike(N.KEY), "evidence_id", 9))
-    return x.where(F.col("parent").isNotNull() & F.col("line").rlike("^(Baixar|Anexo|Arquivo)")).select("evidence_id", "line_no", "parent")
+    above = L.last_above(F.col("ls"), F.col("marks"), 9)
+    x = _lines(spark, d).select("evidence_id", "ls", L.marked(F.col("ls"), lambda x: x.rlike(N.KEY)).alias("marks")).select("evidence_id", F.posexplode(F.arrays_zip(F.col("ls").alias("line"), above.alias("parent"))).alias("p", "z"))
+    return x.where(F.col("z.parent").isNotNull() & F.col("z.line").rlike("^(Baixar|Anexo|Arquivo)")).select("evidence_id", (F.col("p") + 1).alias("line_no"), "z.parent")
 
 
-@query(f"""SELECT evidence_id, block::BIGINT AS block, min(line_no)::INT AS first_line, count(*) AS line_count FROM (SELECT *, sum({_S_NUMLINE}::INT) OVER (PARTITION BY evidence_id ORDER BY line_no) AS block FROM ({_S_LINES})) WHERE block > 0 GROUP BY evidence_id, block""")
+@query(f"""SELECT evidence_id, min(line_no)::INT AS first_line, count(*)::INT AS line_count FROM (SELECT *, sum({_S_NUMLINE}::INT) OVER (PARTITION BY evidence_id ORDER BY line_no) AS block FROM ({_S_LINES})) WHERE block > 0 GROUP BY evidence_id, block""")
 def number_blocks(spark: SparkSession, d: str) -> DataFrame:
     """Blocks of lines, each from a numbered line to the next."""
-    x = _lines(spark, d).withColumn("block", L.block_id(F.col("line").rlike(N.KEY), "evidence_id")).where("block > 0")
-    return x.groupBy("evidence_id", "block").agg(F.min("line_no").alias("first_line"), F.count(F.lit(1)).alias("line_count"))
+    x = _lines(spark, d).select("evidence_id", L.starts(F.col("ls"), lambda x: x.rlike(N.KEY)).alias("at"), F.size("ls").alias("n"))
+    return x.select("evidence_id", F.explode(L.blocks(F.col("at"), F.col("n"))).alias("b")).select("evidence_id", "b.first_line", "b.line_count")
+
+
+@query(f"""SELECT evidence_id, line_no::INT AS line_no, below FROM (SELECT *, first_value(CASE WHEN regexp_matches(line, '^(Publicado em|Situação|Inscrições)') THEN line END IGNORE NULLS) OVER (PARTITION BY evidence_id ORDER BY line_no ROWS BETWEEN 1 FOLLOWING AND 14 FOLLOWING) AS below FROM ({_S_LINES}))
+    WHERE below IS NOT NULL AND {_S_NUMLINE}""")
+def meta_below(spark: SparkSession, d: str) -> DataFrame:
+    """Numbered lines with the nearest line of metadata below, within fourteen lines."""
+    below = L.first_below(F.col("ls"), F.col("marks"), 14)
+    x = _lines(spark, d).select("evidence_id", "ls", L.marked(F.col("ls"), lambda x: x.rlike("^(Publicado em|Situação|Inscrições)")).alias("marks")).select("evidence_id", F.posexplode(F.arrays_zip(F.col("ls").alias("line"), below.alias("below"))).alias("p", "z"))
+    return x.where(F.col("z.below").isNotNull() & F.col("z.line").rlike(N.KEY)).select("evidence_id", (F.col("p") + 1).alias("line_no"), "z.below")
+
+
+@query(f"""SELECT evidence_id, line_no::INT AS line_no, md5(string_agg(line, chr(10)) OVER (PARTITION BY evidence_id ORDER BY line_no ROWS BETWEEN 7 PRECEDING AND 6 FOLLOWING)) AS context_hash FROM ({_S_LINES}) QUALIFY {_S_NUMLINE}""")
+def line_contexts(spark: SparkSession, d: str) -> DataFrame:
+    """The lines around each numbered line, seven above to six below."""
+    ctx = L.within(F.col("ls"), 7, 6)
+    x = _lines(spark, d).select("evidence_id", F.posexplode(F.arrays_zip(F.col("ls").alias("line"), ctx.alias("ctx"))).alias("p", "z"))
+    return x.where(F.col("z.line").rlike(N.KEY)).select("evidence_id", (F.col("p") + 1).alias("line_no"), F.md5("z.ctx").alias("context_hash"))
+
+
+@query(f"""SELECT evidence_id, min(line_no)::INT AS title_line FROM (SELECT l.*, f.title FROM ({_S_LINES}) l JOIN fetched_evidence f USING (evidence_id)) WHERE title <> '' AND contains(line, title) GROUP BY evidence_id""")
+def title_lines(spark: SparkSession, d: str) -> DataFrame:
+    """The first line that holds the page's title."""
+    at = L.first_with(L.lines(F.col("content")), F.col("title")).alias("title_line")
+    return table(spark, d, "fetched_evidence").select("evidence_id", at).where("title_line is not null")
 
 
 # --- truth and outcomes
 
 
 _S_MUNI = f"regexp_replace(lower({s_plain('municipio')}), '[^a-z0-9]', '', 'g')"
-_S_TRUTH = f"""SELECT muni_key, bucket, CASE bucket WHEN 'concurso_publico' THEN url_concursos ELSE url_processos_seletivos END AS truth_url, requiere_revision_humana, tipo FROM (
+_S_TRUTH = f"""SELECT muni_key, bucket, CASE bucket WHEN 'concurso_publico' THEN url_concursos ELSE url_processos_seletivos END AS truth_url, CASE bucket WHEN 'concurso_publico' THEN urls_concursos_extra ELSE urls_processos_extra END AS extra, requiere_revision_humana, tipo FROM (
     SELECT *, {_S_MUNI} AS muni_key FROM golden_set_v1 WHERE municipio IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {_S_MUNI} ORDER BY golden_id DESC) = 1), (VALUES ('concurso_publico'), ('processo_seletivo')) b(bucket)"""
 _S_OUT = f"""SELECT {_S_MUNI} AS muni_key, bucket, url, decision FROM replay_v1 WHERE municipio IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {_S_MUNI}, bucket ORDER BY exported_at DESC NULLS LAST, case_id DESC, url DESC NULLS LAST, decision DESC NULLS LAST) = 1"""
 
 
 def _truth(spark: SparkSession, d: str) -> DataFrame:
     g = table(spark, d, "golden_set_v1").where("municipio is not null").withColumn("muni_key", T.compact(F.col("municipio")))
-    g = R.latest(g, ["muni_key"], "golden_id", ["url_concursos", "url_processos_seletivos", "requiere_revision_humana", "tipo"])
-    return R.unpivot(g, ["muni_key", "requiere_revision_humana", "tipo"], {"url_concursos": "concurso_publico", "url_processos_seletivos": "processo_seletivo"}, "bucket", "truth_url")
+    g = R.latest(g, ["muni_key"], "golden_id", ["url_concursos", "url_processos_seletivos", "urls_concursos_extra", "urls_processos_extra", "requiere_revision_humana", "tipo"])
+    both = F.array(*[F.struct(F.lit(b).alias("bucket"), F.col(m).alias("truth_url"), F.col(e).alias("extra")) for b, m, e in (("concurso_publico", "url_concursos", "urls_concursos_extra"), ("processo_seletivo", "url_processos_seletivos", "urls_processos_extra"))])
+    return g.select("muni_key", "requiere_revision_humana", "tipo", F.explode(both).alias("b")).select("muni_key", "requiere_revision_humana", "tipo", "b.*")
 
 
 def _outcomes(spark: SparkSession, d: str) -> DataFrame:
@@ -345,17 +481,41 @@ def _outcomes(spark: SparkSession, d: str) -> DataFrame:
     return o.groupBy("muni_key", "bucket").agg(best.alias("r")).select("muni_key", "bucket", "r.url", "r.decision")
 
 
-_S_TK, _S_OK = _sql_key("truth_url"), _sql_key("url")
-_S_VERDICT = f"""SELECT t.*, o.url, o.decision, CASE WHEN coalesce(trim(truth_url), '') = '' THEN 'SKIP' WHEN lower(trim(truth_url)) LIKE 'no_existe%' THEN CASE WHEN coalesce(trim(o.url), '') = '' THEN 'T-NEG' ELSE 'F-POS' END
-    WHEN coalesce(trim(o.url), '') = '' THEN 'MISS' WHEN {_S_TK} = {_S_OK} THEN 'HIT' WHEN {s_bare("truth_url")} = {s_bare("o.url")} THEN 'HOST' ELSE 'WRNG' END AS verdict FROM ({_S_TRUTH}) t JOIN ({_S_OUT}) o USING (muni_key, bucket)"""
+_S_JUDGED = f"""SELECT t.*, o.url, o.decision, list_filter([{s_metric("truth_url")}, {s_metric("extra")}], lambda k: k <> '') AS ks, {s_metric("o.url")} AS k,
+    lower(trim(coalesce(truth_url, ''))) = 'no_existe' OR lower(trim(coalesce(extra, ''))) = 'no_existe' AS gone FROM ({_S_TRUTH}) t JOIN ({_S_OUT}) o USING (muni_key, bucket)"""
+_S_VERDICT = f"""SELECT *, CASE WHEN len(ks) > 0 THEN CASE WHEN k = '' THEN 'MISS' WHEN list_contains(ks, k) THEN 'HIT' WHEN list_contains(list_transform(ks, lambda x: {s_key_host("x")}), {s_key_host("k")}) THEN 'HOST' ELSE 'WRNG' END
+    WHEN gone THEN CASE WHEN k = '' THEN 'T-NEG' ELSE 'F-POS' END ELSE 'SKIP' END AS verdict FROM ({_S_JUDGED})"""
 
 
 def _verdicts(spark: SparkSession, d: str) -> DataFrame:
     j = _truth(spark, d).join(_outcomes(spark, d), ["muni_key", "bucket"])
-    t, u = F.coalesce(F.trim("truth_url"), F.lit("")), F.coalesce(F.trim("url"), F.lit(""))
-    gone = F.lower(t).startswith("no_existe")
-    rules = [("SKIP", t == ""), ("T-NEG", gone & (u == "")), ("F-POS", gone), ("MISS", u == ""), ("HIT", U.url_key(F.col("truth_url")) == U.url_key(F.col("url"))), ("HOST", U.bare_host(F.col("truth_url")) == U.bare_host(F.col("url")))]
-    return j.withColumn("verdict", R.first_rule(rules, "WRNG"))
+    return j.withColumn("verdict", D.truth_verdict(F.col("truth_url"), F.col("extra"), F.col("url")))
+
+
+_S_KIND = "CASE WHEN {x} IN ('indice_oficial', 'indice_oficial_combinado', 'portal_externo_oficial') THEN 'confirm' WHEN {x} = 'revisar' THEN 'review' WHEN {x} = 'nao_encontrado' OR regexp_matches({x}, '_rechazad[oa]$') THEN 'negative' END"
+
+
+@query(f"""SELECT muni_key, bucket, CASE WHEN list_filter([lower(trim(coalesce(truth_url, ''))), lower(trim(coalesce(extra, '')))], lambda v: v NOT IN ('', 'no_existe')) <> [] THEN 'confirm' WHEN gone THEN 'negative' ELSE 'golden_na' END AS expectation,
+    CASE WHEN verdict = 'SKIP' THEN 'golden_na' WHEN verdict = 'HIT' AND {_S_KIND.format(x="decision")} = 'confirm' OR verdict = 'T-NEG' AND {_S_KIND.format(x="decision")} = 'negative' THEN 'match' ELSE 'differ' END AS compared FROM ({_S_VERDICT})""")
+def truth_comparison(spark: SparkSession, d: str) -> DataFrame:
+    """What truth expects of each unit, and whether the outcome matches it."""
+    j = _truth(spark, d).join(_outcomes(spark, d), ["muni_key", "bucket"])
+    t = (F.col("truth_url"), F.col("extra"))
+    return j.select("muni_key", "bucket", D.truth_expectation(*t).alias("expectation"), D.compared_to_truth(F.col("decision"), F.col("url"), *t).alias("compared"))
+
+
+@query(f"SELECT t.muni_key, t.bucket, coalesce(truth_url, '') AS truth_url FROM ({_S_TRUTH}) t WHERE NOT EXISTS (SELECT 1 FROM ({_S_OUT}) o WHERE o.muni_key = t.muni_key AND o.bucket = t.bucket)")
+def truth_unmatched(spark: SparkSession, d: str) -> DataFrame:
+    """Units of truth that no outcome answers."""
+    t = _truth(spark, d)
+    return t.join(_outcomes(spark, d).select("muni_key", "bucket"), ["muni_key", "bucket"], "left_anti").select("muni_key", "bucket", F.coalesce("truth_url", F.lit("")).alias("truth_url"))
+
+
+@query(f"SELECT {_S_MUNI} AS muni_key, count(DISTINCT municipio) AS writings, min(municipio) AS one, max(municipio) AS other FROM golden_set_v1 WHERE municipio IS NOT NULL GROUP BY 1 HAVING count(DISTINCT municipio) > 1")
+def key_collisions(spark: SparkSession, d: str) -> DataFrame:
+    """Names that share one municipality key."""
+    g = table(spark, d, "golden_set_v1").where("municipio is not null").groupBy(T.compact(F.col("municipio")).alias("muni_key"))
+    return g.agg(F.countDistinct("municipio").alias("writings"), F.min("municipio").alias("one"), F.max("municipio").alias("other")).where("writings > 1")
 
 
 @query(f"SELECT muni_key, bucket, truth_url, url, verdict FROM ({_S_VERDICT})")
@@ -372,14 +532,15 @@ _S_COUNTS = ", ".join(f"count(*) FILTER (verdict = '{v}') AS {n}" for v, n in ((
 
 
 @query(f"""SELECT bucket, hit, host, wrng, miss, tneg, fpos, skip, {_s_ratio("hit", "(hit + host + wrng + fpos)")} AS precision_strict, {_s_ratio("(hit + host)", "(hit + host + wrng + fpos)")} AS precision_lenient,
-    {_s_ratio("hit", "(hit + host + wrng + miss)")} AS recall_strict FROM (SELECT coalesce(bucket, 'all') AS bucket, {_S_COUNTS} FROM ({_S_VERDICT}) GROUP BY ROLLUP (bucket))""")
+    {_s_ratio("hit", "(hit + host + wrng + miss)")} AS recall_strict, {_s_ratio("(hit + host)", "(hit + host + wrng + miss)")} AS recall_lenient, {_s_ratio("hit", "(hit + host)")} AS same_host_accuracy FROM (SELECT coalesce(bucket, 'all') AS bucket, {_S_COUNTS} FROM ({_S_VERDICT}) GROUP BY ROLLUP (bucket))""")
 def precision_recall(spark: SparkSession, d: str) -> DataFrame:
     """Verdict counts with strict and lenient precision and recall, by bucket and over all."""
     names = {"HIT": "hit", "HOST": "host", "WRNG": "wrng", "MISS": "miss", "T-NEG": "tneg", "F-POS": "fpos", "SKIP": "skip"}
     g = _verdicts(spark, d).rollup("bucket").agg(*[F.count_if(F.col("verdict") == v).alias(n) for v, n in names.items()])
     c = {n: F.col(n) for n in names.values()}
     out = c["hit"] + c["host"] + c["wrng"] + c["fpos"]
-    return g.select(F.coalesce("bucket", F.lit("all")).alias("bucket"), *names.values(), R.ratio(c["hit"], out).alias("precision_strict"), R.ratio(c["hit"] + c["host"], out).alias("precision_lenient"), R.ratio(c["hit"], c["hit"] + c["host"] + c["wrng"] + c["miss"]).alias("recall_strict"))
+    exists = c["hit"] + c["host"] + c["wrng"] + c["miss"]
+    return g.select(F.coalesce("bucket", F.lit("all")).alias("bucket"), *names.values(), R.ratio(c["hit"], out).alias("precision_strict"), R.ratio(c["hit"] + c["host"], out).alias("precision_lenient"), R.ratio(c["hit"], exists).alias("recall_strict"), R.ratio(c["hit"] + c["host"], exists).alias("recall_lenient"), R.ratio(c["hit"], c["hit"] + c["host"]).alias("same_host_accuracy"))
 
 
 @query(f"""SELECT coalesce(tipo, '') AS tipo, coalesce(requiere_revision_humana, '') = 'si' AS manual, verdict, count(*) AS n FROM ({_S_VERDICT}) GROUP BY 1, 2, 3""")
@@ -397,62 +558,126 @@ def coverage_reconcile(spark: SparkSession, d: str) -> DataFrame:
     return R.reconcile(key("golden_set_v1"), key("replay_v1"), key("dominios_oficiales").where("verificado_por = 'importacion'"), "muni_key")
 
 
-@query(f"""WITH t AS (SELECT DISTINCT {_sql_key("url_concursos")} AS k FROM golden_set_v1 UNION SELECT DISTINCT {_sql_key("url_processos_seletivos")} FROM golden_set_v1)
-    SELECT evidence_id FROM fetched_evidence WHERE {_sql_key("requested_url")} NOT IN (SELECT k FROM t) AND {_sql_key("requested_url")} <> ''""")
+@query(f"""WITH m AS (SELECT DISTINCT {_S_MUNI} AS k FROM golden_set_v1 WHERE municipio IS NOT NULL), t AS (SELECT {s_metric("url_concursos")} AS k FROM golden_set_v1 UNION SELECT {s_metric("url_processos_seletivos")} FROM golden_set_v1 UNION SELECT {s_metric("site_base")} FROM golden_set_v1)
+    SELECT evidence_id FROM fetched_evidence WHERE coalesce({_S_MUNI}, '') NOT IN (SELECT k FROM m) AND NOT EXISTS (SELECT 1 FROM t WHERE k <> '' AND k IN ({s_metric("requested_url")}, {s_metric("final_url")}))""")
 def anti_truth(spark: SparkSession, d: str) -> DataFrame:
-    """Pages that share no address with truth."""
+    """Pages whose municipality truth doesn't have, and that share no resource with it."""
     g = table(spark, d, "golden_set_v1")
-    t = g.select(U.url_key(F.col("url_concursos")).alias("k")).union(g.select(U.url_key(F.col("url_processos_seletivos")).alias("k"))).distinct()
-    f = table(spark, d, "fetched_evidence").select("evidence_id", U.url_key(F.col("requested_url")).alias("k")).where("k != ''")
-    return f.join(t, "k", "left_anti").select("evidence_id")
+    m = g.where("municipio is not null").select(T.compact(F.col("municipio")).alias("k"))
+    t = g.select(F.explode(F.array(*[U.metric_key(F.col(c)) for c in ("url_concursos", "url_processos_seletivos", "site_base")])).alias("k")).where("k != ''")
+    f = table(spark, d, "fetched_evidence").select("evidence_id", F.coalesce(T.compact(F.col("municipio")), F.lit("")).alias("k"), U.metric_key(F.col("requested_url")).alias("k1"), U.metric_key(F.col("final_url")).alias("k2"))
+    left = f.join(m, "k", "left_anti")
+    for c in ("k1", "k2"):
+        left = left.join(t.withColumnRenamed("k", c), c, "left_anti")
+    return left.select("evidence_id")
 
 
-_S_CLASS = "CASE WHEN {x} IN ('detalle_oficial', 'indice_oficial', 'confirmar') THEN 'confirm' WHEN {x} IN ('revisar', '') THEN 'review' ELSE 'negative' END"
-_S_PAIR = f"""SELECT a.case_id, {_S_CLASS.format(x="a.dec")} AS k1, {_S_CLASS.format(x="b.dec")} AS k2 FROM (SELECT case_id, max_by(dec, row(exported_at, dec)) AS dec FROM (SELECT case_id, exported_at, lower(trim(coalesce(decision, ''))) AS dec FROM replay_v1 WHERE exported_at IS NOT NULL) GROUP BY 1) a
-    JOIN (SELECT case_id, max_by(dec, row(exported_at, dec)) AS dec FROM (SELECT case_id, exported_at, lower(trim(coalesce(candidate.decision, ''))) AS dec FROM replay_v2 WHERE exported_at IS NOT NULL) GROUP BY 1) b USING (case_id)"""
+_S_SIDE = "SELECT case_id, {d} AS dec, {u} AS url FROM {t} WHERE exported_at IS NOT NULL QUALIFY row_number() OVER (PARTITION BY case_id ORDER BY exported_at DESC, {d} DESC NULLS LAST, {u} DESC NULLS LAST) = 1"
+_S_PAIR = f"""SELECT case_id, a.dec AS d1, b.dec AS d2, {_S_KIND.format(x="a.dec")} AS k1, {_S_KIND.format(x="b.dec")} AS k2, {s_metric("a.url")} AS u1, {s_metric("b.url")} AS u2 FROM ({_S_SIDE.format(d="decision", u="url", t="replay_v1")}) a JOIN ({_S_SIDE.format(d="candidate.decision", u="candidate.url", t="replay_v2")}) b USING (case_id)"""
+_S_RANK = "CASE {k} WHEN 'confirm' THEN 2 WHEN 'review' THEN 1 ELSE 0 END"
+_S_FLIP = f"""SELECT *, CASE WHEN k1 IS NULL OR k2 IS NULL THEN NULL WHEN k1 = k2 THEN CASE k1 WHEN 'review' THEN 'both_review' WHEN 'negative' THEN 'both_negative' ELSE CASE WHEN u1 = u2 THEN 'both_confirm_same_resource' ELSE 'both_confirm_distinct_resource' END END
+    WHEN {_S_RANK.format(k="k2")} > {_S_RANK.format(k="k1")} THEN 'v2_' || k2 || '_v1_' || k1 ELSE 'v1_' || k1 || '_v2_' || k2 END AS flip FROM ({_S_PAIR})"""
 
 
 def _decided(spark: SparkSession, d: str) -> DataFrame:
-    def side(t: str, c: str, out: str) -> DataFrame:
-        x = table(spark, d, t).where("exported_at is not null").select("case_id", "exported_at", F.lower(F.trim(F.coalesce(F.col(c), F.lit("")))).alias("dec"))
-        x = x.groupBy("case_id").agg(F.max_by("dec", F.struct("exported_at", "dec")).alias("dec"))
-        return x.select("case_id", R.first_rule([("confirm", F.col("dec").isin("detalle_oficial", "indice_oficial", "confirmar")), ("review", F.col("dec").isin("revisar", ""))], "negative").alias(out))
+    def side(t: str, dec: str, url: str, k: int) -> DataFrame:
+        x = table(spark, d, t).where("exported_at is not null").select("case_id", "exported_at", F.col(dec).alias("dec"), F.col(url).alias("url"))
+        # a null counts as least: it is told apart from an empty text
+        order = F.struct("exported_at", F.col("dec").isNotNull(), "dec", F.col("url").isNotNull(), "url")
+        x = x.groupBy("case_id").agg(F.max_by(F.struct("dec", "url"), order).alias("r"))
+        return x.select("case_id", F.col("r.dec").alias(f"d{k}"), F.col("r.url").alias(f"u{k}"))
 
-    return side("replay_v1", "decision", "k1").join(side("replay_v2", "candidate.decision", "k2"), "case_id")
+    j = side("replay_v1", "decision", "url", 1).join(side("replay_v2", "candidate.decision", "candidate.url", 2), "case_id")
+    return j.withColumn("flip", D.flip_class(F.col("d1"), F.col("u1"), F.col("d2"), F.col("u2"))).withColumn("k1", D.decision_kind(F.col("d1"))).withColumn("k2", D.decision_kind(F.col("d2")))
 
 
-@query(f"SELECT case_id, CASE WHEN k1 = k2 THEN 'same_' || k1 ELSE 'v2_' || k2 || '_v1_' || k1 END AS flip FROM ({_S_PAIR})")
+@query(f"SELECT case_id, flip FROM ({_S_FLIP})")
 def flip_classes(spark: SparkSession, d: str) -> DataFrame:
-    """How a case's decision moved between the two systems."""
-    flip = F.when(F.col("k1") == F.col("k2"), F.concat(F.lit("same_"), "k1")).otherwise(F.concat(F.lit("v2_"), "k2", F.lit("_v1_"), "k1"))
-    return _decided(spark, d).select("case_id", flip.alias("flip"))
+    """How a case's decision moved between the two systems, in ten classes; null where a decision is unknown."""
+    return _decided(spark, d).select("case_id", "flip")
+
+
+@query(f"SELECT count(flip) AS compared, count(*) - count(flip) AS skipped, count(*) FILTER (k1 <> k2) AS flips, count(*) FILTER ({_S_RANK.format(k='k2')} < {_S_RANK.format(k='k1')} AND flip IS NOT NULL) AS negative, count(*) FILTER ({_S_RANK.format(k='k2')} > {_S_RANK.format(k='k1')} AND flip IS NOT NULL) AS positive FROM ({_S_FLIP})")
+def flip_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Cases compared, skipped, and moved down or up."""
+    rank = lambda k: F.when(F.col(k) == "confirm", 2).when(F.col(k) == "review", 1).otherwise(0)
+    known = F.col("flip").isNotNull()
+    return _decided(spark, d).agg(F.count("flip").alias("compared"), F.count_if(~known).alias("skipped"), F.count_if(F.col("k1") != F.col("k2")).alias("flips"), F.count_if(known & (rank("k2") < rank("k1"))).alias("negative"), F.count_if(known & (rank("k2") > rank("k1"))).alias("positive"))
 
 
-@query(f"SELECT k1, count(*) FILTER (k2 = 'confirm') AS confirm, count(*) FILTER (k2 = 'review') AS review, count(*) FILTER (k2 = 'negative') AS negative FROM ({_S_PAIR}) GROUP BY k1")
+@query(f"""SELECT case_id, CASE WHEN cause = 'access_failure' THEN 'adquisicion' WHEN cause = 'legitimate_absence' THEN 'ausencia_legitima' WHEN d1 IS NULL THEN 'no_computable' WHEN flip IN ('both_confirm_same_resource', 'both_review', 'both_negative') THEN 'sin_discrepancia' ELSE 'semantico_real' END AS category
+    FROM (SELECT f.*, CASE WHEN s = 'error_fetch' THEN 'access_failure' WHEN d2 = 'nao_encontrado' THEN 'legitimate_absence' ELSE 'success' END AS cause FROM ({_S_FLIP}) f
+      JOIN (SELECT case_id, arg_max(candidate.evidence_state, row(exported_at, coalesce(candidate.decision, ''), coalesce(candidate.url, ''), coalesce(candidate.evidence_state, ''))) AS s FROM replay_v2 WHERE exported_at IS NOT NULL AND candidate IS NOT NULL GROUP BY 1) USING (case_id)) WHERE d2 IS NOT NULL""")
+def discrepancy_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Why the systems differ; the second one's cause is read from its evidence and decision."""
+    v2 = table(spark, d, "replay_v2").where("exported_at is not null and candidate is not null")
+    c = lambda x: F.coalesce(F.col(f"candidate.{x}"), F.lit(""))
+    s = v2.groupBy("case_id").agg(F.max_by("candidate.evidence_state", F.struct("exported_at", c("decision"), c("url"), c("evidence_state"))).alias("s"))
+    x = _decided(spark, d).where("d2 is not null").join(s, "case_id")
+    cause = F.when(F.col("s") == "error_fetch", "access_failure").when(F.col("d2") == "nao_encontrado", "legitimate_absence").otherwise("success")
+    return x.select("case_id", D.discrepancy(F.col("d1").isNotNull(), F.lit(True), cause, F.lit(""), F.col("flip")).alias("category"))
+
+
+@query(f"SELECT k1, count(*) FILTER (k2 = 'confirm') AS confirm, count(*) FILTER (k2 = 'review') AS review, count(*) FILTER (k2 = 'negative') AS negative FROM ({_S_PAIR}) WHERE k1 IS NOT NULL GROUP BY k1")
 def discrepancy_matrix(spark: SparkSession, d: str) -> DataFrame:
     """Decisions of one system against those of the other."""
-    return _decided(spark, d).groupBy("k1").agg(*[F.count_if(F.col("k2") == k).alias(k) for k in ("confirm", "review", "negative")])
+    return _decided(spark, d).where("k1 is not null").groupBy("k1").agg(*[F.count_if(F.col("k2") == k).alias(k) for k in ("confirm", "review", "negative")])
+
+
+_S_C = "coalesce(candidate.{f}, '')"
+_S_ROLE = "CASE coalesce(candidate.decision, '') WHEN 'indice_oficial' THEN 'indice_listado' WHEN 'indice_oficial_combinado' THEN 'indice_combinado' WHEN 'portal_externo_oficial' THEN 'indice_listado' WHEN 'detalle_individual_rechazado' THEN 'detalle_individual' WHEN 'nao_encontrado' THEN 'noticia' ELSE 'desconocido' END"
+
+
+@query(f"""WITH c AS (SELECT case_id, exported_at, {_S_C.format(f="source_kind")} AS k, {_S_C.format(f="authority")} AS a, {_S_C.format(f="identity")} AS i, {_S_C.format(f="evidence_state")} AS e, {_S_C.format(f="bucket")} AS b, {_S_ROLE} AS r, {_S_C.format(f="decision")} AS d FROM replay_v2)
+    SELECT case_id, exported_at, CASE WHEN e NOT IN ('completa', 'renderizada', 'incompleta_antibot') THEN 'revisar' WHEN d = 'licitacao_rechazada' THEN 'licitacao_rechazada' WHEN d = 'concurso_cultural_rechazado' THEN 'concurso_cultural_rechazado' WHEN e = 'incompleta_antibot' THEN 'revisar'
+      WHEN r = 'detalle_individual' THEN 'detalle_individual_rechazado' WHEN r NOT IN ('indice_listado', 'indice_combinado') THEN 'nao_encontrado' WHEN i <> 'confirmada' OR a <> 'confirmada' THEN 'revisar' WHEN k = 'portal_externo_delegado' THEN 'portal_externo_oficial'
+      WHEN r = 'indice_combinado' OR b NOT IN ('concurso_publico', 'processo_seletivo') THEN 'indice_oficial_combinado' ELSE 'indice_oficial' END AS derived FROM c""")
+def derived_decisions(spark: SparkSession, d: str) -> DataFrame:
+    """The decision that the table of rules derives from a candidate's attributes; its role is read from the system's own decision."""
+    c = lambda f: F.col(f"candidate.{f}")
+    said = F.coalesce(c("decision"), F.lit(""))
+    role = F.when(said.isin("indice_oficial", "portal_externo_oficial"), "indice_listado").when(said == "indice_oficial_combinado", "indice_combinado").when(said == "detalle_individual_rechazado", "detalle_individual").when(said == "nao_encontrado", "noticia").otherwise("desconocido")
+    got = D.derived_decision(c("source_kind"), c("authority"), c("identity"), role, c("bucket"), c("evidence_state"), F.lit(True), said == "licitacao_rechazada", said == "concurso_cultural_rechazado")
+    return table(spark, d, "replay_v2").select("case_id", "exported_at", got.alias("derived"))
+
+
+@query("""WITH e AS (SELECT *, candidate.bucket = bucket AS own FROM replay_v2 WHERE candidate.decision IN ('indice_oficial', 'indice_oficial_combinado', 'portal_externo_oficial') AND (candidate.bucket = bucket OR candidate.bucket = 'combinado')),
+    g AS (SELECT municipio, bucket, max(own) AS any_own FROM e GROUP BY 1, 2), p AS (SELECT e.* FROM e JOIN g ON e.municipio IS NOT DISTINCT FROM g.municipio AND e.bucket IS NOT DISTINCT FROM g.bucket WHERE own OR NOT any_own),
+    s AS (SELECT municipio, bucket, count(*) AS n, min(candidate.candidate_id) AS lo, max(candidate.candidate_id) AS hi FROM p GROUP BY 1, 2), u AS (SELECT DISTINCT municipio, bucket FROM replay_v2)
+    SELECT u.municipio, u.bucket, CASE WHEN lo = hi THEN lo END AS candidate_id, CASE WHEN n IS NULL THEN 'none_eligible' WHEN lo <> hi THEN 'tie' WHEN n > 1 THEN 'selected_duplicate' ELSE 'selected' END AS outcome FROM u LEFT JOIN s ON u.municipio IS NOT DISTINCT FROM s.municipio AND u.bucket IS NOT DISTINCT FROM s.bucket""")
+def resolved_picks(spark: SparkSession, d: str) -> DataFrame:
+    """The candidate selected for each municipality and bucket, or why there is none."""
+    v2 = table(spark, d, "replay_v2").select("municipio", "bucket", F.col("candidate.candidate_id").alias("candidate_id"), F.col("candidate.bucket").alias("cb"), F.col("candidate.decision").alias("dec"))
+    return D.resolved_picks(v2, ["municipio", "bucket"], "bucket", "candidate_id", "cb", "dec")
 
 
 # --- states and rollups
 
 
-_S_STATE = "CASE WHEN {u} = '' THEN 'VAC_RAW' WHEN {u} LIKE 'no_existe%' THEN 'VAC_VERIF' ELSE 'CONF' END"
-_S_U = "lower(trim(coalesce({c}, '')))"
+_S_STATE = "CASE WHEN coalesce(requiere_revision_humana, '') = 'no' AND starts_with(lower(trim(coalesce({u}, ''))), 'http') THEN 'CONF' WHEN starts_with(lower(trim(coalesce({u}, ''))), 'http') THEN 'PEND' WHEN lower(trim(coalesce({u}, ''))) = 'no_existe' THEN 'VAC_VERIF' ELSE 'VAC_RAW' END"
 
 
-@query(f"""WITH s AS (SELECT golden_id, {_S_STATE.format(u=_S_U.format(c="url_concursos"))} AS a, {_S_STATE.format(u=_S_U.format(c="url_processos_seletivos"))} AS b FROM golden_set_v1)
-    SELECT golden_id, a, b, CASE WHEN a = 'CONF' AND b = 'CONF' THEN 'green' WHEN a = 'CONF' OR b = 'CONF' THEN CASE WHEN 'VAC_RAW' IN (a, b) OR 'VAC_VERIF' IN (a, b) THEN 'closed' ELSE 'amber' END ELSE 'red' END AS state FROM s""")
+@query(f"""WITH s AS (SELECT golden_id, {_S_STATE.format(u="url_concursos")} AS a, {_S_STATE.format(u="url_processos_seletivos")} AS b FROM golden_set_v1)
+    SELECT golden_id, a, b, CASE WHEN a = 'CONF' AND b = 'CONF' THEN 'green' WHEN a = 'PEND' OR b = 'PEND' THEN 'amber' WHEN a = 'CONF' OR b = 'CONF' THEN 'closed' ELSE 'red' END AS state FROM s""")
 def rollup_states(spark: SparkSession, d: str) -> DataFrame:
-    """State of a municipality from the states of its two buckets."""
+    """State of a municipality from the states of its two buckets; rows that need no review count as confirmed."""
+    sure = F.when(F.col("requiere_revision_humana") == "no", "confirmado")
+
+    def state(c: str, bucket: str):
+        marker = F.when(F.lower(F.trim(F.col(c))) == "no_existe", F.lit(f"[sin_indice_oficial_chrome:{bucket}]"))
+        return D.bucket_state(sure, F.col(c), marker, bucket)
+
+    g = table(spark, d, "golden_set_v1").select("golden_id", state("url_concursos", "concursos").alias("a"), state("url_processos_seletivos", "processos").alias("b"))
+    return g.withColumn("state", D.municipality_state(F.col("a"), F.col("b")))
 
-    def state(c: str):
-        u = F.lower(F.trim(F.coalesce(F.col(c), F.lit(""))))
-        return R.first_rule([("VAC_RAW", u == ""), ("VAC_VERIF", u.startswith("no_existe"))], "CONF")
 
-    g = table(spark, d, "golden_set_v1").select("golden_id", state("url_concursos").alias("a"), state("url_processos_seletivos").alias("b"))
-    conf, vac = (F.col("a") == "CONF", F.col("b") == "CONF"), F.col("a").startswith("VAC") | F.col("b").startswith("VAC")
-    return g.withColumn("state", R.first_rule([("green", conf[0] & conf[1]), ("closed", (conf[0] | conf[1]) & vac), ("amber", conf[0] | conf[1])], "red"))
+@query(f"""SELECT coalesce(bucket, 'all') AS bucket, count(*) FILTER (s = 'CONF') AS confirmed, count(*) FILTER (s = 'PEND') AS pending, count(*) FILTER (s = 'VAC_RAW') AS vacant, count(*) FILTER (s = 'VAC_VERIF') AS verified_vacant FROM (
+    SELECT 'concursos' AS bucket, {_S_STATE.format(u="url_concursos")} AS s FROM golden_set_v1 UNION ALL SELECT 'processos', {_S_STATE.format(u="url_processos_seletivos")} FROM golden_set_v1) GROUP BY ROLLUP (bucket)""")
+def bucket_overview(spark: SparkSession, d: str) -> DataFrame:
+    """Addresses by state, by bucket and over all."""
+    g = rollup_states(spark, d).select(F.explode(F.array(F.struct(F.lit("concursos").alias("bucket"), F.col("a").alias("s")), F.struct(F.lit("processos").alias("bucket"), F.col("b").alias("s")))).alias("x")).select("x.*")
+    names = {"CONF": "confirmed", "PEND": "pending", "VAC_RAW": "vacant", "VAC_VERIF": "verified_vacant"}
+    return g.rollup("bucket").agg(*[F.count_if(F.col("s") == k).alias(n) for k, n in names.items()]).withColumn("bucket", F.coalesce("bucket", F.lit("all")))
 
 
 @query(f"""SELECT coalesce(banca, '') AS banca, count(*) AS n, count(*) FILTER (semaforo = 'listo') AS ready, count(*) FILTER (coalesce(edital_abertura_url, '') <> '') AS with_url, {_s_ratio("count(*) FILTER (semaforo = 'listo')", "count(*)")} AS ready_rate
@@ -484,13 +709,17 @@ def collapse_occurrences(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "fetched_evidence").groupBy("requested_url", "final_url", "status").agg(F.count(F.lit(1)).alias("occurrences"), F.min("evidence_id").alias("first_id")).where("occurrences > 1")
 
 
-@query("SELECT snapshot_id, sha256(string_agg(resource_id::VARCHAR || ':' || h, ',' ORDER BY resource_id, h)) AS digest, count(*) AS rows_in FROM (SELECT snapshot_id, resource_id, md5(coalesce(content, '')) AS h FROM evidence_snapshot WHERE resource_id % 8 = resource_id % 8) GROUP BY snapshot_id".replace(" WHERE resource_id % 8 = resource_id % 8", ""))
+@query("""SELECT snapshot_id, sha256(string_agg(part::VARCHAR || ':' || digest, ',' ORDER BY part)) AS digest, sum(n)::BIGINT AS rows_in FROM (
+    SELECT snapshot_id, resource_id // 1024 AS part, sha256(string_agg(resource_id::VARCHAR || ':' || h, ',' ORDER BY resource_id, h)) AS digest, count(*) AS n FROM (SELECT snapshot_id, resource_id, md5(coalesce(content, '')) AS h FROM evidence_snapshot) GROUP BY 1, 2) GROUP BY 1""")
 def snapshot_digests(spark: SparkSession, d: str) -> DataFrame:
-    """One digest a delivery over its sorted (resource, content hash) pairs; only hashes are gathered."""
-    s = table(spark, d, "evidence_snapshot").select("snapshot_id", F.struct("resource_id", F.md5(F.coalesce("content", F.lit(""))).alias("h")).alias("x"))
-    g = s.groupBy("snapshot_id").agg(F.array_sort(F.collect_list("x")).alias("l"), F.count(F.lit(1)).alias("rows_in"))
-    joined = F.array_join(F.transform("l", lambda x: F.concat(x["resource_id"].cast("string"), F.lit(":"), x["h"])), ",")
-    return g.select("snapshot_id", F.sha2(joined, 256).alias("digest"), "rows_in")
+    """One digest a delivery: of ranges of 1024 keys over their sorted (resource, content hash) pairs, then of the ranges' digests."""
+
+    def digest(parts, key: str, value: str):
+        return F.sha2(F.array_join(F.transform(F.array_sort(parts), lambda x: F.concat(x[key].cast("string"), F.lit(":"), x[value])), ","), 256)
+
+    s = table(spark, d, "evidence_snapshot").select("snapshot_id", F.expr("resource_id div 1024").alias("part"), F.struct("resource_id", F.md5(F.coalesce("content", F.lit(""))).alias("h")).alias("x"))
+    g = s.groupBy("snapshot_id", "part").agg(digest(F.collect_list("x"), "resource_id", "h").alias("digest"), F.count(F.lit(1)).alias("n"))
+    return g.groupBy("snapshot_id").agg(digest(F.collect_list(F.struct("part", "digest")), "part", "digest").alias("digest"), F.sum("n").alias("rows_in"))
 
 
 _S_FAMILY = "CASE WHEN host LIKE '%.portal-unificado.example' THEN 'unified' WHEN host LIKE '%.atende-cidade.example' THEN 'hosted' WHEN contains(coalesce(requested_url, ''), '/arquivo/secao/') THEN 'sections' WHEN host LIKE '%.gov.example' THEN 'official' ELSE 'other' END"
@@ -531,7 +760,7 @@ def per_bank_limits(spark: SparkSession, d: str) -> DataFrame:
     return R.top_per_group(b, "banca", order, 3, 40).select("base_id", "banca", "rank")
 
 
-_S_SCORE = f"(CASE WHEN {s_any(s_fold('label'), ('edital', 'abertura'))} THEN 10 ELSE 0 END + CASE WHEN {s_any(s_fold('label'), ('retificacao', 'gabarito', 'resultado', 'lista'))} THEN -8 ELSE 0 END + CASE WHEN regexp_matches(label, '{N.KEY}') THEN 3 ELSE 0 END)"
+_S_SCORE = f"(CASE WHEN {s_any(s_fold('label'), ('edital', 'abertura'))} THEN 10 ELSE 0 END + CASE WHEN {s_any(s_fold('label'), ('retificacao', 'gabarito', 'resultado', 'lista'))} THEN -8 ELSE 0 END + CASE WHEN regexp_matches(label, '{_S_KEY}') THEN 3 ELSE 0 END)"
 
 
 @query(f"SELECT evidence_id, pos, label, score::INT AS score FROM (SELECT *, {_S_SCORE} AS score FROM ({_S_ANCHORS})) WHERE score > 0 QUALIFY row_number() OVER (PARTITION BY evidence_id ORDER BY score DESC, length(href), length(label), pos) = 1")
@@ -595,8 +824,8 @@ _S_EV = "SELECT event_id, user_id, event_type, ts FROM events"
 @query(f"SELECT event_id, count(*) OVER w AS calls_60s, sum(value) OVER w AS value_60s FROM (SELECT *, epoch_us(ts) AS us FROM events) WINDOW w AS (PARTITION BY event_type ORDER BY us RANGE BETWEEN 59999999 PRECEDING AND CURRENT ROW)".replace("sum(value) OVER w AS value_60s", "round(sum(value) OVER w, 4) AS value_60s"))
 def rolling_calls(spark: SparkSession, d: str) -> DataFrame:
     """Calls and their sum in the last 60 seconds, the lower edge open."""
-    e = table(spark, d, "events")
-    return e.select("event_id", Q.rolling(e, "event_type", "ts", 60).alias("calls_60s"), F.round(Q.rolling(e, "event_type", "ts", 60, F.col("value")), 4).alias("value_60s"))
+    x = Q.rolling_rows(table(spark, d, "events"), "event_type", "ts", 60, {"calls_60s": F.lit(1), "value_60s": F.col("value")})
+    return x.select("event_id", "calls_60s", F.round("value_60s", 4).alias("value_60s"))
 
 
 @query("SELECT user_id, day, n, n > 3 AS over_quota FROM (SELECT user_id, ts::DATE AS day, count(*) AS n FROM events GROUP BY 1, 2)")
