@@ -3,7 +3,7 @@
 Content never crosses the network: each row is reduced to a 128-bit digest at the
 scan. Keys fall into leaf buckets, contiguous ranges of the hash space, and one
 shuffle by (snapshot, key) brings a snapshot's copies of a key together. Leaf digests are
-summed up a tree of fan-out 16; consecutive snapshots are compared from the root
+summed up a tree of fan-out 16, all its levels in one aggregation; consecutive snapshots are compared from the root
 down, and rows are diffed only in leaves whose digests differ.
 """
 
@@ -38,15 +38,23 @@ def _levels(leaves: int) -> list[int]:
     return out[::-1]
 
 
+def tree_of(nodes: DataFrame, leaves: int) -> DataFrame:
+    """(width, ord, node, d1, d2, n) of every level of the trees over leaf digests, in one aggregation, written once."""
+    widths = _levels(leaves)
+    ups = F.array(*[F.struct(F.lit(w).alias("width"), F.expr(f"leaf div {leaves // w}").alias("node")) for w in widths])
+    x = nodes.select("ord", F.explode(ups).alias("u"), "d1", "d2", "n").select("ord", "u.width", "u.node", "d1", "d2", "n")
+    return written(x.groupBy("width", "ord", "node").agg(F.bit_xor("d1").alias("d1"), F.bit_xor("d2").alias("d2"), F.sum("n").alias("n")), "tree")
+
+
 def changed_leaves(nodes: DataFrame, leaves: int) -> DataFrame:
     """(ord, leaf) of each snapshot ordinal whose leaf digest differs from the snapshot before.
 
     nodes: ord, leaf, d1, d2, n. A level is compared only below nodes that differ.
     """
+    tree = tree_of(nodes, leaves)
     open_: DataFrame | None = None
     for width in _levels(leaves):
-        here = F.expr(f"leaf div {leaves // width}")
-        level = nodes.groupBy("ord", here.alias("node")).agg(F.bit_xor("d1").alias("d1"), F.bit_xor("d2").alias("d2"), F.sum("n").alias("n"))
+        level = tree.where(F.col("width") == width).drop("width")
         if open_ is not None:
             level = level.join(open_.select("ord", "up"), [level.ord == open_.ord, F.expr(f"node div {width // last}") == open_.up], "left_semi")
         # a node absent from a snapshot counts as empty: each node is sent to its own ordinal and to the next
@@ -59,14 +67,15 @@ def changed_leaves(nodes: DataFrame, leaves: int) -> DataFrame:
     return differs.select("ord", F.col("node").alias("leaf"))
 
 
-def snapshot_changes(df: DataFrame, snapshot: str, key: str, version: str, compared: list[Column], leaf_rows: int = 64) -> DataFrame:
+def snapshot_changes(df: DataFrame, snapshot: str, key: str, version: str, compared: list[Column], leaf_rows: int = 4) -> DataFrame:
     """(snapshot, key, change_kind) between consecutive delivered snapshots.
 
     Of several rows of a key in one snapshot the one with the latest `version` counts
     (null is earliest; equal versions: the greater digest). compared: the values whose
     change counts, as strings without nulls. Rows without snapshot or key are no
     deliveries and are left out. The first snapshot gives no rows; an empty table
-    gives an empty result. Columns of df beyond those named are never read.
+    gives an empty result. Columns of df beyond those named are never read. A leaf holds about
+    leaf_rows keys: few, so that most leaves are equal where one key in ten changes.
     """
     kinds = {f: df.schema[f].dataType for f in (snapshot, key)}
     d1, d2 = digest(*compared)

@@ -1,5 +1,6 @@
 import random
 
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sondar.operators.copydiff import copy_differences
@@ -65,3 +66,18 @@ def test_copies(spark):
     assert got == [(1, "g"), (3, "f"), (3, "g"), (4, "missing_in_right"), (5, "missing_in_left")]
     assert sorted(map(tuple, copy_differences(a.limit(0), b, "k", "at", fields, fields, ("left", "right")).collect())) == [(k, "missing_in_left") for k in (1, 2, 3, 5, 6)]
     assert copy_differences(a.limit(0), b.limit(0), "k", "at", fields, fields, ("left", "right")).count() == 0
+
+
+def test_the_tree_prunes_equal_leaves(spark):
+    """On the test data most leaves are equal between deliveries, and their rows are never diffed."""
+    from sondar.operators import snapdiff
+
+    df = spark.read.parquet("/root/testdata/sf0.01/evidence_snapshot.parquet")
+    d1, d2 = snapdiff.digest(snapdiff.squeezed(F.col("content")), F.coalesce("final_url", F.lit("")))
+    rows = df.select(F.dense_rank().over(W.orderBy("snapshot_id")).alias("ord"), F.col("resource_id").alias("k"), d1.alias("d1"), d2.alias("d2")).distinct()
+    leaves = 256
+    keyed = rows.withColumn("leaf", F.pmod(F.shiftrightunsigned(F.xxhash64("k"), 8), F.lit(leaves)))
+    nodes = keyed.groupBy("ord", "leaf").agg(F.bit_xor(F.xxhash64("k", "d1", "d2")).alias("d1"), F.bit_xor(F.xxhash64("d2", "k", "d1")).alias("d2"), F.count(F.lit(1)).alias("n"))
+    most = rows.agg(F.max("ord")).first()[0]
+    hit = snapdiff.changed_leaves(nodes, leaves).where((F.col("ord") > 1) & (F.col("ord") <= most)).count()
+    assert 0 < hit < 0.7 * leaves * (most - 1)
