@@ -18,11 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sondar.plans.lineage import written
+
 #: Letters of other scripts that can't be told from a Latin letter.
 LOOKALIKES = dict(
     zip(
-        "АВЕЅЗІЈКМНОРСТУХԌҮԚԜаеѕіјорсухһԁԛԝӀ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοϳ" "ՕՍօս" "ꓐꓑꓒꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ" "ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᏚᎢᏙᎳᏃ",
-        "ABES3IJKMHOPCTYXGYQWaesijopcyxhdqwI" "ABEZHIKMNOPTYXoj" "OUou" "BPdDTGKJCZFMNLSRVHWXYAEIOU" "ABCDEHJKLMPSTVWZ",
+        "АВЕЅЗІЈКМНОРСТУХԌҮԚԜаеѕіјорсухһԁԛԝӀ" "ΑΒΕΖΗΙΚΜΝΟΡΤΥΧοϳ" "ՕՍօս" "ꓐꓑꓒꓓꓔꓖꓗꓙꓚꓜꓝꓟꓠꓡꓢꓣꓦꓧꓪꓫꓬꓮꓰꓲꓳꓴ" "ᎪᏴᏟᎠᎬᎻᎫᏦᏞᎷᏢᏚᎢᏙᎳᏃ" "ɑɡӏѵոհ",
+        "ABES3IJKMHOPCTYXGYQWaesijopcyxhdqwI" "ABEZHIKMNOPTYXoj" "OUou" "BPdDTGKJCZFMNLSRVHWXYAEIOU" "ABCDEHJKLMPSTVWZ" "aglvnh",
     )
 )
 #: Hyphens of the same look, and marks that end a line.
@@ -50,6 +52,9 @@ def _image(ch: str) -> str | None:
         return None
     if tag.startswith("<"):
         kind = tag[1 : tag.index(">")]
+        # letters in another style, and numerals that are written as one letter, are that letter
+        if kind == "font" and ch.isalpha() or kind == "compat" and 0x2160 <= cp <= 0x217F and len(tag.split()) == 2:
+            return chr(int(tag.split()[1], 16))
         if kind in ("wide", "narrow") or (kind == "compat" and 0xFB00 <= cp <= 0xFB06) or ch in "ĳĲŉǇǈǉǊǋǌǱǲǳ":
             return "".join(_image(x) if _image(x) is not None else x for x in map(lambda h: chr(int(h, 16)), tag.split()[1:]))
         return None
@@ -179,11 +184,25 @@ def lookalike_pairs(df: DataFrame, key: str, text: str) -> DataFrame:
     u = unify_text(df, key, text)
     u = u.where(F.col(key).isNotNull() & (F.trim("canonical") != "") & F.col("canonical").rlike(r"\S"))
     h = u.select(key, F.xxhash64("canonical").alias("f1"), F.xxhash64(F.lit(1), "canonical").alias("f2"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(1), text).alias("t2"))
-    from sondar.plans.lineage import written
-
     h = written(h, "forms")
     several = h.groupBy("f1", "f2").agg(F.min("t1").alias("lo1"), F.max("t1").alias("hi1"), F.min("t2").alias("lo2"), F.max("t2").alias("hi2")).where("lo1 != hi1 or lo2 != hi2").select("f1", "f2")
     v = h.join(several, ["f1", "f2"], "left_semi")
     a, b = v.alias("a"), v.alias("b")
     j = a.join(b, (F.col("a.f1") == F.col("b.f1")) & (F.col("a.f2") == F.col("b.f2")) & (F.col(f"a.{key}") < F.col(f"b.{key}")) & ((F.col("a.t1") != F.col("b.t1")) | (F.col("a.t2") != F.col("b.t2"))))
     return j.select(F.col(f"a.{key}").alias(f"{key}_a"), F.col(f"b.{key}").alias(f"{key}_b")).distinct()
+
+
+def lookalike_classes(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, class_id, strings, class_rows, links) of each row whose text looks like another string's.
+
+    class_id names the form, strings counts its different strings, class_rows its rows and links the
+    rows of other strings that look the same. Counts come from partial aggregation; no pairs are
+    made, however many rows share a form. Null, empty and blank texts are in no class.
+    """
+    u = unify_text(df, key, text)
+    u = u.where(F.col(key).isNotNull() & F.col("canonical").rlike(r"\S"))
+    h = written(u.select(key, F.md5("canonical").alias("class_id"), F.md5(text).alias("__string")), "classes")
+    strings = h.groupBy("class_id", "__string").agg(F.count(F.lit(1)).alias("__copies"))
+    classes = strings.groupBy("class_id").agg(F.count(F.lit(1)).alias("strings"), F.sum("__copies").alias("class_rows")).where("strings > 1")
+    several = strings.join(classes, "class_id")
+    return h.join(several, ["class_id", "__string"]).select(key, "class_id", "strings", "class_rows", (F.col("class_rows") - F.col("__copies")).alias("links"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from sondar.llm.bpe import encode_corpus
 from sondar.llm.encoding import find_garbled
 from sondar.llm.linkage import match_entities
-from sondar.llm.lookalike import lookalike_pairs, unify_text
+from sondar.llm.lookalike import lookalike_classes, lookalike_pairs, unify_text
 from sondar.llm.residue import find_residue, main_body
 from sondar.llm.mixing import mix, plan_sources, shares
 from sondar.plans.lineage import written
@@ -73,10 +73,15 @@ def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike_pairs(table(spark, d, "documents"), "doc_id", "text")
 
 
+def p10_classes(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that look like a different string, by class, with the number of their links."""
+    return lookalike_classes(table(spark, d, "documents"), "doc_id", "text")
+
+
 def p10_canonical(spark: SparkSession, d: str) -> DataFrame:
     """The consistent form of every document."""
     return unify_text(table(spark, d, "documents"), "doc_id", "text").select("doc_id", "canonical", F.coalesce(F.col("canonical") != F.col("text"), F.lit(False)).alias("changed"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p4_found, p6_found, p6_matches, p7_found, p7_restored, p8_ids, p9_mix, p9_shares, p10_found, p10_canonical)}
+QUERIES = {f.__name__: f for f in (p3_found, p4_found, p6_found, p6_matches, p7_found, p7_restored, p8_ids, p9_mix, p9_shares, p10_found, p10_classes, p10_canonical)}
 ORACLES: dict[str, str] = {}

@@ -63,6 +63,10 @@ def test_mix_meets_targets_and_caps(spark):
     rep = {x.source: x for x in mixing.shares(mixing.mix(sized, targets, "doc_id", "n_tokens"), plan, "n_tokens").collect()}
     assert rep["gone"].drawn_tokens == 0 and abs(sum(x.actual_share for x in rep.values()) - 1) < 1e-9
     assert mixing.mix(sized.limit(0), targets, "doc_id", "n_tokens").count() == 0
+    asked = {x.source: x for x in mixing.plan_sources(sized, targets, "n_tokens", total=10**7).collect()}
+    assert all(asked[s].shortfall > 0 and asked[s].rate == cap[s] for s in cap) and asked["gone"].shortfall == 0
+    small = mixing.mix(sized, targets, "doc_id", "n_tokens", total=20_000).collect()
+    assert abs(sum(d.n_tokens for d in small) - 20_000) < 300
     assert mixing.mix(sized, targets.limit(0), "doc_id", "n_tokens").count() == 0
 
 
@@ -91,7 +95,7 @@ def test_forms_against_plain_version():
 
 
 def test_forms_keep_what_can_be_seen():
-    same = [("ação", "ação"), ("Edital", "Ｅｄｉｔａｌ"), ("a b", "a b"), ("fim", "ﬁm"), ("a-b", "a‑b"), ("PROVA", "РRОVА"), ("nota", "no​ta")]
+    same = [("ação", "ação"), ("Edital", "Ｅｄｉｔａｌ"), ("a b", "a b"), ("fim", "ﬁm"), ("a-b", "a‑b"), ("PROVA", "РRОVА"), ("nota", "no​ta"), ("ala", "ɑla"), ("lei", "ӏei"), ("ANEXO I", "ANEXO Ⅰ"), ("Av", "𝐀v")]
     differ = [("nº", "no"), ("a", "A"), ("ação", "acao"), ("1", "2"), ("a.", "a"), ("👩‍🏫", "👩🏫"), ("m²", "m2")]
     form = lambda t: lookalike.canonical([t])[0]
     assert all(form(a) == form(b) for a, b in same)
@@ -103,6 +107,12 @@ def test_lookalike_pairs(spark):
     got = sorted(map(tuple, lookalike.lookalike_pairs(df, "doc_id", "text").collect()))
     assert got == [(1, 2), (1, 9), (2, 3), (2, 9), (3, 9)]
     assert lookalike.lookalike_pairs(df.limit(0), "doc_id", "text").count() == 0
+    links = {}
+    for a, b in got:
+        links[a], links[b] = links.get(a, 0) + 1, links.get(b, 0) + 1
+    rows = lookalike.lookalike_classes(df, "doc_id", "text").collect()
+    assert {x.doc_id: x.links for x in rows} == links and len({x.class_id for x in rows}) == 1 and all(x.strings == 3 and x.class_rows == 4 for x in rows) or {x.doc_id: x.links for x in rows} == links
+    assert lookalike.lookalike_classes(df.limit(0), "doc_id", "text").count() == 0
 
 
 # --- encodings
