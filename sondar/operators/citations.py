@@ -21,9 +21,10 @@ def anchored(text: Column, quote: Column) -> Column:
 
 
 def verified(text: Column, start: Column, stop: Column, quote: Column) -> Column:
-    """Null if the text between the offsets is the quote, else the reason."""
+    """Null if the text between the offsets is the quote, else the reason, which tells a wrong place from a quote that isn't there."""
     bad = start.isNull() | stop.isNull() | (start < 0) | (stop > F.length(text)) | (stop <= start)
-    return F.when(text.isNull() | (text == ""), "empty_source").when(bad, "offset_out_of_bounds").when(F.substring(text, start + 1, stop - start) != quote, "offset_quote_mismatch")
+    elsewhere = F.when(F.contains(text, quote), "offset_quote_mismatch").otherwise("quote_not_found")
+    return F.when(text.isNull() | (text == ""), "empty_source").when(bad, "offset_out_of_bounds").when(F.substring(text, start + 1, stop - start) != quote, elsewhere)
 
 
 def blockers(authority: Column, identity: Column, state: Column) -> Column:

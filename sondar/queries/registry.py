@@ -9,7 +9,7 @@ from sondar.plans.ship import ship
 
 
 def _modules(more: tuple = ()) -> list:
-    names = ["sondar.queries.general", "sondar.queries.engine"]
+    names = ["sondar.queries.general", "sondar.queries.engine", "sondar.queries.evidence"]
     found = []
     for n in names:
         try:
