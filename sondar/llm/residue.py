@@ -324,7 +324,7 @@ _NAME = re.compile(r"[=\-#&/!*\s]*[^\W\d][\w.|:\- ]*|\d+")
 def _run_pattern() -> re.Pattern:
     """One pattern for all runs; it begins with a class of characters, which a search passes over quickly."""
     rest: dict[str, list[str]] = defaultdict(list)
-    for a, b in _CODE + _SOFT:
+    for a, b in _CODE + _SOFT[:2]:
         shut, first = re.escape(b[0]), re.escape(a[0])
         before, after = f"(?<={first})", ""
         if a in ("##", "@@"):
@@ -333,9 +333,7 @@ def _run_pattern() -> re.Pattern:
             before, inner, after = rf"(?<=_)(?<!\w_)", r"[^\W\d_](?:\w*[^\W_])?", r"(?!\w)"
         elif a == "%":
             before, inner, after = rf"(?<=%)(?<![\w%]%)", r"[^\W\d_]+(?:_\w+)*", r"(?![\w%])"
-        elif a == ":":
-            before, inner, after = rf"(?<=:)(?<![\w:/]:)", r"[^\W\d]\w*", r"(?![\w/])"
-        elif a in ("{", "<", "[", "("):
+        elif a in ("{", "<", "["):
             inner = r"[^\[\]<>(){}\n]+"
         else:
             inner = rf"[^{re.escape(a[-1])}{shut}\n]+"
@@ -345,6 +343,8 @@ def _run_pattern() -> re.Pattern:
 
 
 _RUN = _run_pattern()
+#: Runs between marks that are everywhere in ordinary text have patterns of their own, which begin with a literal.
+_OFTEN = (("(", re.compile(r"\([^\[\]<>(){}\n]+\)")), (":", re.compile(r":(?<![\w:/]:)[^\W\d]\w*:(?![\w/])")))
 
 
 def stems(text: str) -> list[str]:
@@ -374,30 +374,44 @@ def _inner(text: str) -> list[str]:
     return ["FIGURE" if t == "0" else t for t in stems(text)]
 
 
-def shapes(text: str) -> Iterator[list[str]]:
-    """The terms of each bracketed or masked run of a text: its marks, and what stands between them.
-
-    Between marks of a template engine any name is one and the same term; between marks that
-    ordinary text has, too, the words are kept, with a term for capitals.
-    """
+def runs(text: str) -> Iterator[str]:
+    """The bracketed and masked runs of a text."""
     if "&lt;" in text:
         text = text.replace("&lt;", "<").replace("&gt;", ">")
-    if any(c in text for c in "{<[%@#(_:$"):
+    if any(c in text for c in "{<[%@#_$"):
         for m in _RUN.finditer(text):
-            run = m.group()
-            for a, b in _CODE:
-                if run.startswith(a) and run.endswith(b) and len(run) >= len(a) + len(b):
-                    inner = run[len(a) : len(run) - len(b)].strip()
-                    yield [f"{a} {b}", "NAME"] if _NAME.fullmatch(inner) else [f"{a} {b}", *_inner(inner)]
-                    break
-            else:
-                inner = run[1:-1]
-                ts = _inner(inner)
-                if ts:
-                    yield [f"{run[0]} {run[-1]}", *(["CAPS"] if inner.isupper() else []), *ts]
-    if "x" in text or "X" in text or "TODO" in text or "FIXME" in text:
+            yield m.group()
+    for mark, pattern in _OFTEN:
+        if mark in text:
+            yield from pattern.findall(text)
+    if "x" in text or "X" in text or "TODO:" in text or "FIXME:" in text:
         for m in _MASK.finditer(text):
-            yield ["mask todo" if m.group().endswith(":") else "mask x"]
+            yield m.group()
+
+
+@lru_cache(maxsize=100_000)
+def shape(run: str) -> tuple[str, ...]:
+    """The terms of a bracketed or masked run: its marks, and what stands between them.
+
+    Between marks of a template engine any name is one and the same term; between marks that
+    ordinary text has, too, the words are kept, with a term for capitals.
+    """
+    for a, b in _CODE:
+        if run.startswith(a) and run.endswith(b) and len(run) >= len(a) + len(b):
+            inner = run[len(a) : len(run) - len(b)].strip()
+            return (f"{a} {b}", "NAME") if _NAME.fullmatch(inner) else (f"{a} {b}", *_inner(inner))
+    if (run[0], run[-1]) in _SOFT:
+        ts = _inner(run[1:-1])
+        return (f"{run[0]} {run[-1]}", *(["CAPS"] if run[1:-1].isupper() else []), *ts) if ts else ()
+    return ("mask todo" if run.endswith(":") else "mask x",)
+
+
+def shapes(text: str) -> Iterator[tuple[str, ...]]:
+    """The terms of each bracketed or masked run of a text."""
+    for run in runs(text):
+        ts = shape(run) if len(run) < 200 else shape.__wrapped__(run)
+        if ts:
+            yield ts
 
 
 @lru_cache(maxsize=1)
@@ -442,8 +456,9 @@ class Residue:
         self.memo: dict[str, tuple[float, str]] = {}
         self._rare: frozenset | None = None
         self._known: dict[str, tuple[float, float]] = {}
-        self._short: tuple[frozenset, frozenset] | None = None
+        self._short: tuple[frozenset, frozenset, frozenset] | None = None
         self._weights: list[float] | None = None
+        self._unfilled: dict[tuple[str, ...], bool] = {}
 
     def __getstate__(self):
         return self.idf, self.typical
@@ -500,7 +515,15 @@ class Residue:
 
     def placeholder(self, text: str) -> bool:
         """Whether some bracketed or masked run of the text is contained in placeholder exemplars."""
-        return any(self._window(ts, ("placeholder",), False)[0] >= CONTAINED for ts in shapes(text))
+        for ts in shapes(text):
+            got = self._unfilled.get(ts)
+            if got is None:
+                if len(self._unfilled) > 100_000:
+                    self._unfilled.clear()
+                got = self._unfilled[ts] = self._window(list(ts), ("placeholder",), False)[0] >= CONTAINED
+            if got:
+                return True
+        return False
 
     def rare(self) -> frozenset:
         """Terms of filler exemplars that few pages have."""
@@ -508,11 +531,12 @@ class Residue:
             self._rare = frozenset(t for label, ts in index()[0] if label in ("filler", "nonsense") for t in ts if t != "0" and self.idf.get(t, UNSEEN) >= RARE)
         return self._rare
 
-    def _few(self) -> tuple[frozenset, frozenset]:
-        """Term sets of filler exemplars too short for a window, and how they begin: only a whole line of them is filler."""
+    def _few(self) -> tuple[frozenset, frozenset, frozenset]:
+        """Term sets of filler exemplars too short for a window, how they begin, and the rarest term of each: only a whole line of them is filler."""
         if self._short is None:
             few = [(ts, line) for ts, line in zip(*_filler()) if len(ts) <= FEW]
-            self._short = frozenset(ts for ts, _ in few), frozenset(line[:3].lower() for _, line in few)
+            rarest = frozenset(max(ts, key=lambda t: (self.idf.get(t, UNSEEN), t)) for ts, _ in few if ts)
+            self._short = frozenset(ts for ts, _ in few), frozenset(line[:3].lower() for _, line in few), rarest
         return self._short
 
     def filler(self, text: str) -> bool:
@@ -520,13 +544,15 @@ class Residue:
 
         Two nonsense words side by side are enough.
         """
-        few, begin = self._few()
-        lines = text.split("\n")
-        for line in lines:
-            if line.lstrip()[:3].lower() in begin and frozenset(stems(line)) in few:
-                return True
+        few, begin, rarest = self._few()
         rare = self.rare()
-        if rare.isdisjoint(map(stem_of, tokens(text))):
+        has = set(map(stem_of, tokens(text)))
+        lines = text.split("\n")
+        if not rarest.isdisjoint(has):
+            for line in lines:
+                if line.lstrip()[:3].lower() in begin and frozenset(stems(line)) in few:
+                    return True
+        if rare.isdisjoint(has):
             return False
         nonsense = _nonsense()
         for line in lines:
