@@ -81,3 +81,18 @@ def test_the_tree_prunes_equal_leaves(spark):
     most = rows.agg(F.max("ord")).first()[0]
     hit = snapdiff.changed_leaves(nodes, leaves).where((F.col("ord") > 1) & (F.col("ord") <= most)).count()
     assert 0 < hit < 0.7 * leaves * (most - 1)
+
+
+def test_intermediate_tables_live_in_the_applications_folder(spark):
+    from sondar.plans import lineage
+
+    a = lineage.written(spark.range(3).toDF("k"), "t")
+    where = a.inputFiles()[0]
+    assert spark.sparkContext.applicationId in where and a.count() == 3
+    old = lineage.shared_dir(spark) + "/sondar/app-long-ago"
+    fs, p = lineage._fs(spark, old)
+    fs.mkdirs(p)
+    fs.setTimes(p, 0, -1)
+    lineage._folders.clear()
+    lineage.app_folder(spark)
+    assert not fs.exists(p) and a.count() == 3
