@@ -81,3 +81,24 @@ def first_rule(rules: list[tuple[str, Column]], fallback: str) -> Column:
 def ratio(a: Column, b: Column) -> Column:
     """a / b rounded to 4 digits, -1 where b is not positive."""
     return F.when(b > 0, F.round(a / b, 4)).otherwise(F.lit(-1.0))
+
+
+def mentions(df: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
+    """(key, name, at) of each name that a text holds as whole words, both already folded; at counts words from 1.
+
+    Texts are exploded to their words with the few that follow, and names met by their first word:
+    an equi-join whatever the sizes, never all texts against all names. The words that follow are
+    as many as the longest name has. Null and empty texts and names mention nothing.
+    """
+    n = names.select(name).distinct().where(F.col(name) != "").withColumn("__first", F.substring_index(name, " ", 1))
+    most = n.agg(F.max(F.size(F.split(name, " ")))).first()[0] or 1
+    words = df.where(F.col(text) != "").select(key, F.split(text, " ").alias("__w"))
+    each = F.transform("__w", lambda w, i: F.struct(w.alias("first"), (i + 1).alias("at"), F.array_join(F.slice("__w", i + 1, F.lit(most)), " ").alias("next")))
+    e = words.select(key, F.explode(each).alias("__e")).select(key, F.col("__e.first").alias("__first"), F.col("__e.at").alias("at"), F.concat("__e.next", F.lit(" ")).alias("__next"))
+    return e.join(n, "__first").where(F.startswith("__next", F.concat(name, F.lit(" ")))).select(key, name, "at")
+
+
+def longest_mention(df: DataFrame, key: str, text: str, names: DataFrame, name: str) -> DataFrame:
+    """(key, name) of the longest name that a text mentions; of equally long ones the first in order of the alphabet."""
+    m = mentions(df, key, text, names, name)
+    return m.groupBy(key).agg(F.min(F.struct((-F.length(name)).alias("l"), name)).alias("__m")).select(key, F.col(f"__m.{name}").alias(name))

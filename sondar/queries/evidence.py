@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from sondar.functions import pages as P
+from sondar.functions import records as X
 from sondar.functions import text as T
 from sondar.functions import urls as U
 from sondar.operators import citations as C
@@ -175,3 +177,51 @@ def outcome_pages(spark: SparkSession, d: str) -> DataFrame:
     """Outcomes of each municipality with the number of its pages, both counted before they are joined."""
     count = lambda t, n: table(spark, d, t).where("municipio is not null").groupBy(T.compact(F.col("municipio")).alias("muni_key")).agg(F.count(F.lit(1)).alias(n))
     return count("replay_v1", "outcomes").join(count("fetched_evidence", "pages"), "muni_key", "left").na.fill(0, ["pages"])
+
+
+@query(f"""WITH n AS (SELECT DISTINCT {s_fold('municipio')} AS name FROM dominios_oficiales WHERE municipio IS NOT NULL), t AS (SELECT doc_id, {s_fold('title')} AS f FROM documents WHERE title IS NOT NULL)
+    SELECT doc_id, name FROM t JOIN n ON name <> '' AND contains(' ' || f || ' ', ' ' || name || ' ') QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY length(name) DESC, name) = 1""")
+def title_municipalities(spark: SparkSession, d: str) -> DataFrame:
+    """The longest municipality name that a title mentions."""
+    n = table(spark, d, "dominios_oficiales").where("municipio is not null").select(T.fold(F.col("municipio")).alias("name"))
+    t = table(spark, d, "documents").where("title is not null").select("doc_id", T.fold(F.col("title")).alias("f"))
+    return R.longest_mention(t, "doc_id", "f", n, "name")
+
+
+@query(f"""WITH n AS (SELECT {s_fold('municipio')} AS name, min(municipio) AS municipio, count(DISTINCT municipio) AS writings FROM dominios_oficiales WHERE municipio IS NOT NULL GROUP BY 1)
+    SELECT doc_id, n.municipio, writings FROM documents d JOIN n ON {s_fold('d.municipio')} = n.name WHERE d.municipio IS NOT NULL""")
+def original_names(spark: SparkSession, d: str) -> DataFrame:
+    """The registry's writing of each document's municipality, and how many it has."""
+    n = table(spark, d, "dominios_oficiales").where("municipio is not null").groupBy(T.fold(F.col("municipio")).alias("name")).agg(F.min("municipio").alias("municipio"), F.countDistinct("municipio").alias("writings"))
+    docs = table(spark, d, "documents").where("municipio is not null").select("doc_id", T.fold(F.col("municipio")).alias("name"))
+    return docs.join(n, "name").select("doc_id", "municipio", "writings")
+
+
+_S_DIFF = "CASE WHEN {a} <> {b} THEN '{n}: ''' || substring({a}, 1, 90) || ''' -> ''' || substring({b}, 1, 90) || '''' END"
+
+
+@query(f"""WITH a AS (SELECT snapshot_id, resource_id, status, title, final_url FROM evidence_snapshot QUALIFY row_number() OVER (PARTITION BY snapshot_id, resource_id ORDER BY retrieved_at DESC NULLS LAST, coalesce(title, '') DESC, coalesce(final_url, '') DESC, coalesce(status, -1) DESC) = 1),
+    o AS (SELECT snapshot_id, row_number() OVER (ORDER BY snapshot_id) AS k FROM (SELECT DISTINCT snapshot_id FROM evidence_snapshot)), x AS (SELECT a.*, k FROM a JOIN o USING (snapshot_id)),
+    j AS (SELECT n.snapshot_id, n.resource_id, coalesce(p.status::VARCHAR, '') AS s1, coalesce(n.status::VARCHAR, '') AS s2, coalesce(p.title, '') AS t1, coalesce(n.title, '') AS t2, coalesce(p.final_url, '') AS u1, coalesce(n.final_url, '') AS u2 FROM x n JOIN x p ON n.resource_id = p.resource_id AND n.k = p.k + 1)
+    SELECT snapshot_id, resource_id, array_to_string(list_filter([{_S_DIFF.format(a="s1", b="s2", n="status")}, {_S_DIFF.format(a="t1", b="t2", n="title")}, {_S_DIFF.format(a="u1", b="u2", n="final_url")}], lambda z: z IS NOT NULL), '; ') AS diffs
+    FROM j WHERE s1 <> s2 OR t1 <> t2 OR u1 <> u2""")
+def resource_field_diffs(spark: SparkSession, d: str) -> DataFrame:
+    """What changed in a resource's status, title and address against the delivery before, field by field."""
+    fields = ("status", "title", "final_url")
+    s = table(spark, d, "evidence_snapshot").select("snapshot_id", "resource_id", "retrieved_at", *fields)
+    tie = [F.coalesce("title", F.lit("")), F.coalesce("final_url", F.lit("")), F.coalesce("status", F.lit(-1))]
+    s = s.groupBy("snapshot_id", "resource_id").agg(F.max_by(F.struct(*fields), F.struct(F.col("retrieved_at").isNotNull(), "retrieved_at", *tie)).alias("r"))
+    # one row a delivery: the number of deliveries is the same at every scale
+    ids = s.select("snapshot_id").distinct()
+    nxt = ids.withColumn("next_id", F.lead("snapshot_id").over(W.orderBy("snapshot_id"))).where("next_id is not null")
+    before = s.join(nxt, "snapshot_id").select(F.col("next_id").alias("snapshot_id"), "resource_id", F.col("r").alias("p"))
+    j = s.join(before, ["snapshot_id", "resource_id"])
+    diffs = X.field_diffs({f: F.col(f"p.{f}") for f in fields}, {f: F.col(f"r.{f}") for f in fields})
+    return j.select("snapshot_id", "resource_id", diffs.alias("x")).where(F.size("x") > 0).select("snapshot_id", "resource_id", F.array_join("x", "; ").alias("diffs"))
+
+
+@query("SELECT event_id, json_extract(props, '$.k')::INT AS k, greatest(1, length(props) // 4)::INT AS estimate, regexp_matches(props, '(?i)\\b(bearer\\s+)[A-Za-z0-9._~+/=-]{8,}') AS secret FROM events")
+def event_props(spark: SparkSession, d: str) -> DataFrame:
+    """Properties of events read loosely, their size estimate, and whether they hold a secret."""
+    p = F.col("props")
+    return table(spark, d, "events").select("event_id", X.loose_object(p, "k int")["k"].alias("k"), X.tokens_estimate(p).alias("estimate"), X.has_secret(p).alias("secret"))
