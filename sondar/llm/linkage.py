@@ -6,8 +6,8 @@ year at places up to two letters apart, or the address of one announcement. An e
 what its profiles share, by how rare the shared values are among all profiles: a number and
 a place say most where their frequencies make a chance meeting unlikely. The graph is pruned
 by meta-blocking (an edge far below the best of both its ends goes). Then the neighbourhood
-decides, round by round, until no edge changes: a profile that names no kind or number takes
-those of its best neighbours, and its edges to others go; what is left supports the pairs at
+decides: a profile that names no kind or number takes those of its best neighbours, and its
+edges to others go; what is left supports, round by round until no score changes, the pairs at
 both ends of each path, which fade with its length.
 """
 
@@ -215,27 +215,28 @@ def contradicted(edges: DataFrame, profiles: DataFrame) -> DataFrame:
 
 
 def settled(edges: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Scores (i, j, s) of all pairs, refined by their neighbourhoods until none changes by EPSILON.
-
-    A pair scores what it shares itself, or what the best path through common neighbours leaves:
-    the weaker end of two matches, faded. Paths only join profiles between which nothing speaks.
-    Rounds double the length of paths, and a path of n steps leaves at most FADE ** n, so
-    no more than log(ACCEPT) / log(FADE) steps matter: the rounds end without a limit on them.
+    """Scores (i, j, s) of all pairs, refined by their neighbourhoods to a fixed point.
+
+    Neighbours first contradict edges, then what is left supports the pairs at both ends of each
+    path: a pair scores what it shares itself, or what the best path leaves of the weakest match on
+    it, faded by its steps. Paths only join profiles between which nothing speaks. Last, neighbours
+    contradict once more. Scores only rise, rounds double the length of paths, and no more than
+    log(ACCEPT) / log(FADE) steps matter, so the rounds end without a limit on them: when
+    neither the number of pairs nor the sum of scores changes by EPSILON.
     """
     p, q = profiles.alias("p"), profiles.alias("q")
-    known, seen = edges, None
+    known, seen = written(contradicted(edges.where(F.col("s") >= ACCEPT), profiles), "direct"), None
     while True:
-        good = contradicted(known.where(F.col("s") >= ACCEPT), profiles)
-        half = written(good.unionByName(good.select(F.col("j").alias("i"), F.col("i").alias("j"), "s")), "half")
-        now = half.agg(F.count(F.lit(1)), F.coalesce(F.sum("s"), F.lit(0.0)).alias("s")).first()
+        now = known.agg(F.count(F.lit(1)), F.coalesce(F.sum("s"), F.lit(0.0)).alias("s")).first()
         if seen is not None and now[0] == seen[0] and abs(now[1] - seen[1]) < EPSILON:
-            return half.where("i < j")
+            return contradicted(known, profiles)
         seen = now
+        half = known.unionByName(known.select(F.col("j").alias("i"), F.col("i").alias("j"), "s"))
         u, v = half.alias("u"), half.alias("v")
         via = u.join(v, (F.col("u.i") == F.col("v.i")) & (F.col("u.j") < F.col("v.j"))).select(F.col("u.j").alias("i"), F.col("v.j").alias("j"), (F.lit(FADE) * F.least("u.s", "v.s")).alias("s"))
         via = via.groupBy("i", "j").agg(F.max("s").alias("s")).where(F.col("s") >= ACCEPT)
         via = via.join(p, F.col("i") == F.col("p.pid")).join(q, F.col("j") == F.col("q.pid")).where(_agrees("p", "q")).select("i", "j", "s")
-        known = written(half.where("i < j").unionByName(via).groupBy("i", "j").agg(F.max("s").alias("s")), "known")
+        known = written(known.unionByName(via).groupBy("i", "j").agg(F.max("s").alias("s")), "known")
 
 
 def match_entities(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
