@@ -70,11 +70,12 @@ def seconds_to_midnight(ts: Column) -> Column:
     return F.lit(86_400.0) - F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(86_400_000_000)) / F.lit(1e6)
 
 
-def admitted(rows: list[tuple[float, int]], rpm: int, tpm: int, rpd: int, span: float = 60.0) -> list[tuple[float, str]]:
+def admitted(rows: list[tuple[float, int]], rpm: int, tpm: int, rpd: int, span: float = 60.0, wait: bool = True) -> list[tuple[float, str]]:
     """(time of admission, state) of requests (time, tokens) in order of arrival, under limits a minute and a UTC day.
 
     A request waits until enough earlier ones have left the window (now - span, now]; one that
-    alone is beyond the tokens a minute, or beyond the day's requests, is refused.
+    alone is beyond the tokens a minute, or beyond the day's requests, is refused. Without `wait`
+    one that would have to wait is refused as well.
     """
     window: deque = deque()
     tokens, day, used, clock, out = 0, None, 0, 0.0, []
@@ -96,6 +97,9 @@ def admitted(rows: list[tuple[float, int]], rpm: int, tpm: int, rpd: int, span:
                 tokens, used, clock = tokens + need, used + 1, now
                 out.append((now, "admitted"))
                 break
+            if not wait:
+                out.append((now, "refused"))
+                break
             gone, left, n = 0, tokens, len(window)
             for t, k in window:
                 gone, left, n = t, left - k, n - 1
