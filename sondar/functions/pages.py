@@ -41,7 +41,7 @@ def head(c: Column, n: int) -> Column:
 
 def soft404(status: Column, folded: Column) -> Column:
     """Not ok, or a phrase in the folded title and first 500 characters."""
-    return ~ok(status) | T.contains_any(folded, SOFT_404)
+    return ~ok(status) | T.holds(folded, SOFT_404)
 
 
 def title_and_head(title: Column, content: Column, n: int) -> Column:
@@ -50,17 +50,17 @@ def title_and_head(title: Column, content: Column, n: int) -> Column:
 
 
 def challenged(title: Column, content: Column, html: Column) -> Column:
-    """A checkpoint's signature anywhere in title, text or source."""
+    """A checkpoint's signature anywhere in title, text or source, all in lower case."""
     out = F.lit(False)
     for c in (title, content, html):
-        out = out | T.contains_any(F.lower(c), CHALLENGE)
+        out = out | T.holds(c, CHALLENGE)
     return out
 
 
 def guarded(title: Column, content: Column, html: Column) -> Column:
-    """A checkpoint's mark in the source, or its title over a text of under 1500 characters."""
+    """A checkpoint's mark in the source, or its title over a text of under 1500 characters; title and source in lower case."""
     thin = F.length(F.coalesce(content, F.lit(""))) < 1500
-    return T.contains_any(F.lower(F.substring(html, 1, 200000)), HARD_MARKS) | (T.contains_any(F.lower(title), CHALLENGE_TITLES) & thin)
+    return T.holds(F.substring(html, 1, 200000), HARD_MARKS) | (T.holds(title, CHALLENGE_TITLES) & thin)
 
 
 def walled(content: Column, folded: Column, items: Column) -> Column:
@@ -70,7 +70,10 @@ def walled(content: Column, folded: Column, items: Column) -> Column:
 
 def blocked(status: Column, html: Column) -> Column:
     """A status of too many requests or overload, or a blocker's phrase in the first 5000 characters of the source."""
-    return F.coalesce(status.isin(429, 503), F.lit(False)) | T.contains_any(T.fold(F.substring(html, 1, 5000)), BLOCKED)
+    head = F.substring(html, 1, 5000)
+    # each phrase has one of these words, so most sources needn't be folded
+    said = F.when(head.rlike("(?i)wordfence|limitado|requests"), T.contains_any(T.fold(head), BLOCKED))
+    return F.coalesce(status.isin(429, 503), F.lit(False)) | F.coalesce(said, F.lit(False))
 
 
 def has_entry(content: Column) -> Column:
@@ -89,7 +92,7 @@ def thin_shell(status: Column, content: Column, html: Column) -> Column:
 
 def app_shell(html: Column, links: Column) -> Column:
     """A framework's mark in the source and fewer than eight links with a scheme."""
-    return T.contains_any(F.lower(F.substring(F.coalesce(html, F.lit("")), 1, 200000)), FRAMEWORK) & (links < 8)
+    return T.contains_any(F.lower(F.substring(html, 1, 200000)), FRAMEWORK) & (links < 8)
 
 
 def no_events(content: Column) -> Column:

@@ -136,3 +136,11 @@ def around(c: Column, needle: str, radius: int) -> Column:
 def contains_any(c: Column, phrases: tuple[str, ...]) -> Column:
     """Whether any of the literal phrases occurs, in one pass over the text; null holds none."""
     return F.coalesce(c.rlike("|".join(re.escape(p) for p in phrases)), F.lit(False))
+
+
+def holds(c: Column, phrases: tuple[str, ...]) -> Column:
+    """contains_any by byte search, a pass for each phrase: quicker than a pattern where c is a column by itself."""
+    out = F.lit(False)
+    for p in phrases:
+        out = out | F.contains(c, F.lit(p))
+    return F.coalesce(out, F.lit(False))

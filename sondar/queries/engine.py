@@ -315,17 +315,20 @@ _S_PARKED = ("em construcao", "em manutencao", "hospedagem de site", "dominio gr
 def page_flags(spark: SparkSession, d: str) -> DataFrame:
     """What a page is by its status, title, text and source. Heads are folded once, each list is one pass."""
     s, t, c, h = F.col("status"), F.col("title"), F.col("content"), F.col("html")
-    heads = {f"h{n}": P.title_and_head(t, c, n) for n in (400, 500, 600, 800)}
-    x = table(spark, d, "fetched_evidence").select("evidence_id", "status", "title", "content", "html", *[e.alias(n) for n, e in heads.items()], T.fold(F.substring(F.coalesce(c, F.lit("")), 1, 2500)).alias("wall"), N.distinct_items(F.lower(T.unaccent(F.substring(F.coalesce(c, F.lit("")), 1, 2500)))).alias("items"))
+    # only short texts that speak of cookies, a login or scripts can be walls
+    short = (F.length(F.coalesce(c, F.lit(""))) <= 2500) & F.coalesce(c.rlike("(?i)cookies|login|javascript"), F.lit(False))
+    low = {f"l_{n}": F.lower(n) for n in ("title", "content", "html")}
+    x = table(spark, d, "fetched_evidence").select("evidence_id", "status", "content", "html", *[e.alias(n) for n, e in low.items()], *[P.title_and_head(t, c, n).alias(f"h{n}") for n in (400, 500, 600, 800)], F.when(short, T.fold(c)).otherwise("").alias("wall"), F.when(short, N.distinct_items(F.lower(T.unaccent(c)))).otherwise(0).alias("items"))
+    lt, lc, lh = F.col("l_title"), F.col("l_content"), F.col("l_html")
     flags = {
         "page_ok": P.ok(s),
         "soft404": P.soft404(s, F.col("h500")),
-        "parked": T.contains_any(F.col("h800"), P.PARKED),
-        "challenged": P.challenged(t, c, h),
-        "guarded": P.guarded(t, c, h),
-        "audit_challenge": T.contains_any(F.col("h600"), P.AUDIT_CHALLENGE),
-        "server_error": T.contains_any(F.col("h600"), P.SERVER_ERROR),
-        "not_found": T.contains_any(F.col("h400"), P.NOT_FOUND),
+        "parked": T.holds(F.col("h800"), P.PARKED),
+        "challenged": P.challenged(lt, lc, lh),
+        "guarded": P.guarded(lt, c, lh),
+        "audit_challenge": T.holds(F.col("h600"), P.AUDIT_CHALLENGE),
+        "server_error": T.holds(F.col("h600"), P.SERVER_ERROR),
+        "not_found": T.holds(F.col("h400"), P.NOT_FOUND),
         "blocked": P.blocked(s, h),
         "walled": P.walled(c, F.col("wall"), F.col("items")),
         "no_events": P.no_events(c),

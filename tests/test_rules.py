@@ -163,7 +163,7 @@ def test_lines_against_plain_loops(spark):
 def test_pages(spark):
     rows = [(429, "", "", ""), (200, "Just a moment...", "x", ""), (200, "t", "c", "<p>by Cloudflare</p>"), (200, "", "Use: aceite os cookies", ""), (None, "Página não encontrada", "", ""), (200, "", "Edital 01/2024", "")]
     df = spark.createDataFrame(rows, "s int, t string, c string, h string")
-    got = df.select(P.blocked(F.col("s"), F.col("h")), P.guarded(F.col("t"), F.col("c"), F.col("h")), P.challenged(F.col("t"), F.col("c"), F.col("h")), P.walled(F.col("c"), T.fold(F.col("c")), F.lit(0)), P.soft404(F.col("s"), P.title_and_head(F.col("t"), F.col("c"), 500)), P.has_entry(F.col("c"))).collect()
+    got = df.select(P.blocked(F.col("s"), F.col("h")), P.guarded(F.lower("t"), F.col("c"), F.lower("h")), P.challenged(F.lower("t"), F.lower("c"), F.lower("h")), P.walled(F.col("c"), T.fold(F.col("c")), F.lit(0)), P.soft404(F.col("s"), P.title_and_head(F.col("t"), F.col("c"), 500)), P.has_entry(F.col("c"))).collect()
     assert [tuple(r) for r in got] == [(True, False, False, False, True, False), (False, True, True, False, False, False), (False, False, True, False, False, False), (False, False, False, True, False, False), (False, False, False, False, True, False), (False, False, False, False, False, True)]
 
 
