@@ -155,7 +155,7 @@ def record_ids(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""WITH r AS (SELECT DISTINCT muni_key, tipo, state, borderline FROM (SELECT {_S_MUNI} AS muni_key, coalesce(tipo, '') AS tipo, coalesce(lote, '') AS state, coalesce(requiere_revision_humana, '') = 'si' AS borderline FROM golden_set_v1 WHERE municipio IS NOT NULL QUALIFY row_number() OVER (PARTITION BY {_S_MUNI} ORDER BY golden_id DESC) = 1)),
     b1 AS (SELECT *, row_number() OVER (PARTITION BY tipo, state ORDER BY sha256('s1|' || muni_key), muni_key) AS r1 FROM r WHERE borderline), b2 AS (SELECT *, row_number() OVER (PARTITION BY tipo ORDER BY r1, state) AS t FROM b1), f AS (SELECT * FROM b2 ORDER BY t, tipo LIMIT 10),
-    c1 AS (SELECT *, row_number() OVER (PARTITION BY tipo, state ORDER BY sha256('s1|' || muni_key), muni_key) AS r1 FROM r WHERE muni_key NOT IN (SELECT muni_key FROM f)), c2 AS (SELECT *, row_number() OVER (PARTITION BY tipo ORDER BY r1, state) AS t FROM c1), g AS (SELECT * FROM c2 ORDER BY t, tipo LIMIT 40)
+    c1 AS (SELECT *, row_number() OVER (PARTITION BY tipo, state ORDER BY sha256('s1|' || muni_key), muni_key) AS r1 FROM r WHERE muni_key NOT IN (SELECT muni_key FROM f)), c2 AS (SELECT *, row_number() OVER (PARTITION BY tipo ORDER BY r1, state) AS t FROM c1), g AS (SELECT * FROM c2 ORDER BY t, tipo LIMIT (SELECT 50 - count(*) FROM f))
     SELECT muni_key, tipo, state, 'borderline_reserve' AS phase FROM f UNION ALL SELECT muni_key, tipo, state, 'family_fill' FROM g""")
 def stratified_sample(spark: SparkSession, d: str) -> DataFrame:
     """Fifty municipalities in turns over types and lots, ten of them reserved for those that need review."""
