@@ -459,6 +459,7 @@ class Residue:
         self._short: tuple[frozenset, frozenset, frozenset] | None = None
         self._weights: list[float] | None = None
         self._unfilled: dict[tuple[str, ...], bool] = {}
+        self._flags: dict[bytes, int] = {}
 
     def __getstate__(self):
         return self.idf, self.typical
@@ -485,10 +486,9 @@ class Residue:
         ts = stems(text)
         if not ts or set(ts) == {"0"}:
             return 1.0, "blank"
-        if self.most(ts) < BARE:
-            return self.most(ts), "none"
-        worst = (2.0, "")
-        for a in range(0, max(1, len(ts) - WINDOW // 2), WINDOW // 2):
+        most = self.most(ts)
+        worst = (most, "none") if most < BARE else (2.0, "")
+        for a in range(0, max(1, len(ts) - WINDOW // 2), WINDOW // 2) if most >= BARE else ():
             worst = min(worst, self._window(ts[a : a + WINDOW], MESSAGES, True))
         if len(self.memo) > 100_000:
             self.memo.clear()
@@ -546,13 +546,23 @@ class Residue:
         """
         few, begin, rarest = self._few()
         rare = self.rare()
-        has = set(map(stem_of, tokens(text)))
+        hints, flags = 0, self._flags
+        for t in tokens(text):
+            f = flags.get(t)
+            if f is None:
+                if len(flags) > 500_000:
+                    flags.clear()
+                w = stem_of(t)
+                f = flags[t] = (w in rare) | (w in rarest) << 1
+            hints |= f
+        if not hints:
+            return False
         lines = text.split("\n")
-        if not rarest.isdisjoint(has):
+        if hints & 2:
             for line in lines:
                 if line.lstrip()[:3].lower() in begin and frozenset(stems(line)) in few:
                     return True
-        if rare.isdisjoint(has):
+        if not hints & 1:
             return False
         nonsense = _nonsense()
         for line in lines:
